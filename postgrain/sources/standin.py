@@ -1,0 +1,114 @@
+"""Post tables derived from the star-schema test tables, for tests and benchmarks.
+
+``posts_raw`` has the primary layout and ``legacy_raw`` the legacy one, with the faults
+the cleaners must handle: missing and padded user names, dates and numbers that do not
+parse, missing metrics, repeated ids.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PART_COLUMNS = ["following", "num_posts", "description_category", "description"]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _second(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, whatever the session time zone."""
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def _whole(amount: Column) -> Column:
+    return F.floor(amount).cast("bigint")
+
+
+def _authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order, with its customer's columns as account columns."""
+    key = F.col("c_custkey")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    accounts = _table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(key % 50 == 1, F.lit("   "))
+        .when((key % 50 != 0) & (key % 3 == 0), F.concat(
+            F.lit("  "), F.upper("c_name"), F.lit(" ")
+        ))
+        .when(key % 50 != 0, F.col("c_name")).alias("username"),
+        _whole(F.col("c_acctbal")).alias("followers"),
+        F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY").alias("is_business_account"),
+        F.element_at(
+            F.array(*[F.lit(x) for x in ("en", "de", "es", "fr")]),
+            (F.col("c_nationkey") % 4 + 1).cast("int"),
+        ).alias("lang"),
+    )
+    return orders.join(accounts, F.col("o_custkey") == F.col("c_custkey"), "left").drop("o_custkey")
+
+
+def posts_raw(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
+    """One post per line item, with its order's customer as author.
+
+    The dimension tables hold each key once, so the left joins neither add nor drop
+    rows; ``part=False`` leaves the part table and its columns out. Orders and customers
+    are joined first, while there are only orders, before meeting the line items.
+    """
+    items = _table(spark, sf_dir, "lineitem")
+    seconds = F.make_dt_interval(secs=(F.col("l_partkey") * 97 % 86400).cast("decimal(18,6)"))
+    items = items.select(
+        "l_orderkey", "l_partkey",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sid"),
+        F.substring(F.md5(F.concat(
+            F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
+        )), 1, 11).alias("shortcode"),
+        F.when(F.col("l_suppkey") % 40 == 0, F.lit("not-a-date"))
+        .otherwise(_second(F.col("l_shipdate") + seconds)).alias("date"),
+        F.when(F.col("l_quantity") == 50, F.lit(None))
+        .when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(2)).alias("post_type"),
+        F.when(F.col("l_discount") != 0.10, _whole(F.col("l_extendedprice"))).alias("likes"),
+        F.when(F.col("l_discount") != 0.0, _whole(F.col("l_quantity"))).alias("comments"),
+        F.col("l_discount").alias("description_grade"),
+        F.when(F.col("l_tax") != 0.08, F.col("l_tax")).alias("image_grade"),
+    )
+    posts = items.join(_authors(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    columns = [
+        "sid", F.col("c_custkey").alias("sid_profile"), F.col("c_custkey").alias("profile_id"),
+        "shortcode", "date", "post_type", "likes", "comments", "username", "followers",
+        "is_business_account", "lang", "description_grade", "image_grade",
+    ]
+    if part:
+        size = F.col("p_size").cast("bigint")
+        details = _table(spark, sf_dir, "part").select(
+            "p_partkey",
+            size.alias("following"),
+            (size * 3).alias("num_posts"),
+            F.col("p_type").alias("description_category"),
+            F.when(F.col("p_size") % 7 != 0, F.col("p_name")).alias("description"),
+        )
+        posts = posts.join(details, F.col("l_partkey") == F.col("p_partkey"), "left")
+        columns += PART_COLUMNS
+    return posts.select(*columns)
+
+
+def legacy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One legacy post per event, every column a string."""
+    event, user = F.col("event_id"), F.col("user_id")
+    second = _second(F.col("ts"))
+    millis = F.rpad(F.substring(F.col("ts").cast("string"), 21, 3), 3, "0")
+    iso = F.concat(F.replace(second, F.lit(" "), F.lit("T")), F.lit("."), millis, F.lit("Z"))
+    return _table(spark, sf_dir, "events").select(
+        event.cast("string").alias("post_id"),
+        user.cast("string").alias("user_posted"),
+        F.col("event_type").alias("content_type"),
+        F.when(event % 11 == 0, F.lit("n/a"))
+        .otherwise(_whole(F.col("value")).cast("string")).alias("likes"),
+        F.get_json_object("props", "$.k").alias("num_comments"),
+        F.when(event % 17 == 0, F.lit("bad"))
+        .when(event % 3 == 0, iso)
+        .when(event % 3 == 1, F.concat(second, F.lit(" UTC")))
+        .otherwise(second).alias("date_posted"),
+        F.when(user % 4 == 1, F.lit("  "))
+        .when(user % 4 == 2, F.lit(" Paris "))
+        .when(user % 4 == 3, F.lit("Rome")).alias("location"),
+    )
