@@ -17,7 +17,7 @@ from postgrain.operators import (
     bloom, charts, cleaning, explorer, profile, rollups, sampling, slices, topk,
 )
 from postgrain.sources import readers, sinks
-from postgrain.sources.standin import legacy_raw, posts_raw
+from postgrain.sources.standin import legacy_raw, posts_raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,12 +120,8 @@ def _bloom_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customer names, most of them users, and all supplier names, none of them."""
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        F.col("c_name").alias("probe")
-    )
-    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        F.col("s_name").alias("probe")
-    )
+    customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("probe"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("probe"))
     return bloom.distinct_probes(customers.unionByName(suppliers), "probe")
 
 

@@ -7,13 +7,14 @@ parse, missing metrics, repeated ids.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PART_COLUMNS = ["following", "num_posts", "description_category", "description"]
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+@lru_cache(maxsize=64)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An opened table; opening reads file footers, so it is done once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,25 +27,57 @@ def _whole(amount: Column) -> Column:
     return F.floor(amount).cast("bigint")
 
 
-def _authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order, with its customer's columns as account columns."""
-    key = F.col("c_custkey")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    accounts = _table(spark, sf_dir, "customer").select(
-        "c_custkey",
-        F.when(key % 50 == 1, F.lit("   "))
-        .when((key % 50 != 0) & (key % 3 == 0), F.concat(
-            F.lit("  "), F.upper("c_name"), F.lit(" ")
-        ))
-        .when(key % 50 != 0, F.col("c_name")).alias("username"),
-        _whole(F.col("c_acctbal")).alias("followers"),
-        F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY").alias("is_business_account"),
-        F.element_at(
-            F.array(*[F.lit(x) for x in ("en", "de", "es", "fr")]),
-            (F.col("c_nationkey") % 4 + 1).cast("int"),
-        ).alias("lang"),
-    )
-    return orders.join(accounts, F.col("o_custkey") == F.col("c_custkey"), "left").drop("o_custkey")
+def _item_columns() -> dict[str, Column]:
+    seconds = F.make_dt_interval(secs=(F.col("l_partkey") * 97 % 86400).cast("decimal(18,6)"))
+    quantity, discount, tax = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    return {
+        "sid": order * 10 + line,
+        "shortcode": F.substring(F.md5(
+            F.concat(order.cast("string"), F.lit("-"), line.cast("string"))
+        ), 1, 11),
+        "date": F.when(F.col("l_suppkey") % 40 == 0, F.lit("not-a-date"))
+        .otherwise(_second(F.col("l_shipdate") + seconds)),
+        "post_type": F.when(quantity == 50, F.lit(None))
+        .when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(2)),
+        "likes": F.when(discount != 0.10, _whole(F.col("l_extendedprice"))),
+        "comments": F.when(discount != 0.0, _whole(quantity)),
+        "description_grade": discount,
+        "image_grade": F.when(tax != 0.08, tax),
+    }
+
+
+def _account_columns() -> dict[str, Column]:
+    key, name = F.col("c_custkey"), F.col("c_name")
+    languages = F.array(*[F.lit(x) for x in ("en", "de", "es", "fr")])
+    return {
+        "sid_profile": key,
+        "profile_id": key,
+        "username": F.when(key % 50 == 1, F.lit("   "))
+        .when((key % 50 != 0) & (key % 3 == 0), F.concat(F.lit("  "), F.upper(name), F.lit(" ")))
+        .when(key % 50 != 0, name),
+        "followers": _whole(F.col("c_acctbal")),
+        "is_business_account": F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"),
+        "lang": F.element_at(languages, (F.col("c_nationkey") % 4 + 1).cast("int")),
+    }
+
+
+def _part_columns() -> dict[str, Column]:
+    size = F.col("p_size").cast("bigint")
+    return {
+        "following": size,
+        "num_posts": size * 3,
+        "description_category": F.col("p_type"),
+        "description": F.when(F.col("p_size") % 7 != 0, F.col("p_name")),
+    }
+
+
+# The primary layout, in column order.
+POST_COLUMNS = [
+    "sid", "sid_profile", "profile_id", "shortcode", "date", "post_type", "likes", "comments",
+    "username", "followers", "is_business_account", "lang", "description_grade", "image_grade",
+    "following", "num_posts", "description_category", "description",
+]
 
 
 def posts_raw(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
@@ -52,43 +85,22 @@ def posts_raw(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
 
     The dimension tables hold each key once, so the left joins neither add nor drop
     rows; ``part=False`` leaves the part table and its columns out. Orders and customers
-    are joined first, while there are only orders, before meeting the line items.
+    are joined first, while there are only orders. Line items and orders grow together,
+    so the hint has Spark shuffle both by order instead of broadcasting either.
     """
-    items = _table(spark, sf_dir, "lineitem")
-    seconds = F.make_dt_interval(secs=(F.col("l_partkey") * 97 % 86400).cast("decimal(18,6)"))
-    items = items.select(
-        "l_orderkey", "l_partkey",
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sid"),
-        F.substring(F.md5(F.concat(
-            F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
-        )), 1, 11).alias("shortcode"),
-        F.when(F.col("l_suppkey") % 40 == 0, F.lit("not-a-date"))
-        .otherwise(_second(F.col("l_shipdate") + seconds)).alias("date"),
-        F.when(F.col("l_quantity") == 50, F.lit(None))
-        .when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(2)).alias("post_type"),
-        F.when(F.col("l_discount") != 0.10, _whole(F.col("l_extendedprice"))).alias("likes"),
-        F.when(F.col("l_discount") != 0.0, _whole(F.col("l_quantity"))).alias("comments"),
-        F.col("l_discount").alias("description_grade"),
-        F.when(F.col("l_tax") != 0.08, F.col("l_tax")).alias("image_grade"),
+    order_key, customer_key = F.col("o_orderkey"), F.col("c_custkey")
+    orders = table(spark, sf_dir, "orders")
+    authors = orders.join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == customer_key, "left"
     )
-    posts = items.join(_authors(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    columns = [
-        "sid", F.col("c_custkey").alias("sid_profile"), F.col("c_custkey").alias("profile_id"),
-        "shortcode", "date", "post_type", "likes", "comments", "username", "followers",
-        "is_business_account", "lang", "description_grade", "image_grade",
-    ]
+    items = table(spark, sf_dir, "lineitem").hint("merge")
+    posts = items.join(authors, F.col("l_orderkey") == order_key, "left")
+    columns = _item_columns() | _account_columns()
     if part:
-        size = F.col("p_size").cast("bigint")
-        details = _table(spark, sf_dir, "part").select(
-            "p_partkey",
-            size.alias("following"),
-            (size * 3).alias("num_posts"),
-            F.col("p_type").alias("description_category"),
-            F.when(F.col("p_size") % 7 != 0, F.col("p_name")).alias("description"),
-        )
-        posts = posts.join(details, F.col("l_partkey") == F.col("p_partkey"), "left")
-        columns += PART_COLUMNS
-    return posts.select(*columns)
+        parts = table(spark, sf_dir, "part")
+        posts = posts.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        columns |= _part_columns()
+    return posts.select(*[columns[c].alias(c) for c in POST_COLUMNS if c in columns])
 
 
 def legacy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +109,7 @@ def legacy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = _second(F.col("ts"))
     millis = F.rpad(F.substring(F.col("ts").cast("string"), 21, 3), 3, "0")
     iso = F.concat(F.replace(second, F.lit(" "), F.lit("T")), F.lit("."), millis, F.lit("Z"))
-    return _table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         event.cast("string").alias("post_id"),
         user.cast("string").alias("user_posted"),
         F.col("event_type").alias("content_type"),
