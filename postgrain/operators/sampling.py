@@ -17,10 +17,9 @@ SAMPLE_FRACTION = 0.01
 SAMPLE_CAP = 5_000
 EXPLORER_CAP = 10_000
 
-# Hex digits of the digest that lowest_digests counts by. The one-percent sample has 656
-# four-digit prefixes; a whole table is first cut to one three-digit prefix, then refined.
-SAMPLE_DIGITS = (4,)
-EXPLORER_DIGITS = (3, 7)
+# Hex digits by which lowest_digests counts: at most 16**4 counters, and a whole table
+# is cut to the sample and one part in 16**4.
+PREFIX_DIGITS = 4
 
 
 def digest_of(posts: DataFrame) -> Column:
@@ -30,46 +29,30 @@ def digest_of(posts: DataFrame) -> Column:
 
 
 def fraction_prefix(fraction: float) -> str:
-    """Digests below this hex string make up the given share of all digests."""
+    """Digests below this hex string make up the given share (under 1) of all digests."""
     return f"{int(fraction * 16**8):08x}"
 
 
-def _digest_prefix(digits: int) -> Column:
-    return F.substring("_digest", 1, digits)
-
-
-def _cutoff(rows: DataFrame, digits: int, wanted: Column) -> DataFrame:
-    """The digest prefix at which the running row count reaches ``wanted``, one row.
-
-    Counting by prefix combines in the map tasks and leaves a few thousand rows for the
-    running count, however large the table. No row if ``rows`` has fewer than ``wanted``.
-    """
-    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        rows.groupBy(_digest_prefix(digits).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("reached", F.sum("n").over(running))
-        .filter((F.col("reached") >= wanted) & (F.col("reached") - F.col("n") < wanted))
-        .select("prefix", (F.col("reached") - F.col("n")).alias("before"))
-    )
-
-
-def lowest_digests(rows: DataFrame, cap: int, digits: tuple[int, ...]) -> DataFrame:
+def lowest_digests(rows: DataFrame, cap: int) -> DataFrame:
     """The ``cap`` rows with the smallest ``_digest``, or all rows if there are fewer.
 
     A plain ``orderBy().limit(cap)`` would send ``cap`` rows from every task to a single
-    one. Here counting passes over the digest alone find the prefix up to which there are
-    ``cap`` rows, and only the rows up to it are collected: ``cap`` rows and at most one
-    prefix more. Copies of one row travel as a row and a count, so they cannot pile up.
+    one. Here a first pass over the digest alone counts rows per digest prefix, combined in
+    the map tasks, and finds the prefix up to which there are ``cap`` rows. Only the rows up
+    to it are collected. Copies of one row travel as a row and a count, so they cannot pile
+    up in a task either.
     """
     columns = [c for c in rows.columns if c != "_digest"]
-    inside, wanted = rows, F.lit(cap)
-    for n in digits:
-        step = _cutoff(inside, n, wanted)
-        prefix = step.select("prefix").scalar()
-        inside = rows.filter(_digest_prefix(n) == prefix)
-        wanted = wanted - step.select("before").scalar()
-    # A missing cutoff means fewer rows than wanted: keep all of them.
-    kept = rows.filter(F.coalesce(_digest_prefix(digits[-1]) <= prefix, F.lit(True)))
+    prefix = F.substring("_digest", 1, PREFIX_DIGITS)
+    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cutoff = (
+        rows.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("reached", F.sum("n").over(running))
+        .filter((F.col("reached") >= cap) & (F.col("reached") - F.col("n") < cap))
+        .select("prefix")
+    )
+    # No cutoff means fewer rows than wanted: keep all of them.
+    kept = rows.filter(F.coalesce(prefix <= cutoff.scalar(), F.lit(True)))
 
     order = ["_digest", *columns]
     first = kept.groupBy(*order).agg(F.count(F.lit(1)).alias("_n")).orderBy(*order).limit(cap)
@@ -93,14 +76,12 @@ def engagement_sample(
 ) -> DataFrame:
     """About one percent of the posts, at most ``cap`` rows, for scatter charts."""
     columns = [*SAMPLE_REQUIRED, *present(posts, SAMPLE_OPTIONAL), *extra]
-    drawn = (
-        posts.select(*columns, digest_of(posts).alias("_digest"))
-        .filter(F.col("_digest") < fraction_prefix(fraction))
-    )
-    return lowest_digests(drawn, cap, SAMPLE_DIGITS)
+    drawn = posts.select(*columns, digest_of(posts).alias("_digest"))
+    if fraction < 1:
+        drawn = drawn.filter(F.col("_digest") < fraction_prefix(fraction))
+    return lowest_digests(drawn, cap)
 
 
 def explorer_sample(posts: DataFrame, cap: int = EXPLORER_CAP) -> DataFrame:
     """At most ``cap`` whole rows for the row explorer."""
-    drawn = posts.withColumn("_digest", digest_of(posts))
-    return lowest_digests(drawn, cap, EXPLORER_DIGITS)
+    return lowest_digests(posts.withColumn("_digest", digest_of(posts)), cap)
