@@ -84,34 +84,38 @@ def slice_kpis_cube(cube: DataFrame) -> DataFrame:
     )
 
 
+def _covering_selections(cell: Column) -> Column:
+    """All selections that a cell belongs to: each dimension either filtered or not."""
+    picks = []
+    for mask in range(2 ** len(SLICE_DIMS)):
+        fields = []
+        for bit, dim in enumerate(SLICE_DIMS):
+            every = bool(mask >> bit & 1)
+            value = F.when(F.lit(not every), cell[dim])
+            fields += [value.alias(dim), F.lit(every).alias(f"all_{dim}")]
+        picks.append(F.struct(*fields))
+    return F.array(*picks)
+
+
 def slice_unique_users(posts: DataFrame) -> DataFrame:
     """Exact distinct users of every possible selection.
 
-    Distinct counts do not add up over cube rows. One shuffle brings each user's set of
-    cells together (cells are few, and the sets are built in the map tasks, so a very
-    active user is as cheap as any other). A user then counts once for each selection
-    that covers one of the cells, and these counts add up in the map tasks.
+    Distinct counts do not add up over cube rows. One shuffle by user brings each user's
+    set of cells together; cells are few and the sets are built in the map tasks, so a very
+    active user is as cheap as any other. Users with the same set count alike, so from then
+    on there are only the different sets, with their numbers of users: such a set adds its
+    number to each selection that covers one of its cells.
     """
-    cells = posts.groupBy(user_column(posts)).agg(
-        F.collect_set(F.struct(*SLICE_DIMS)).alias("cells")
+    sets = (
+        posts.groupBy(user_column(posts)).agg(F.collect_set(F.struct(*SLICE_DIMS)).alias("cells"))
+        .select(F.sort_array("cells").alias("cells"))
+        .groupBy("cells").agg(F.count(F.lit(1)).alias("n"))
     )
-
-    def selections(cell: Column) -> Column:
-        picks = []
-        for mask in range(2 ** len(SLICE_DIMS)):
-            fields = []
-            for bit, dim in enumerate(SLICE_DIMS):
-                every = bool(mask >> bit & 1)
-                value = F.when(F.lit(not every), cell[dim])
-                fields += [value.alias(dim), F.lit(every).alias(f"all_{dim}")]
-            picks.append(F.struct(*fields))
-        return F.array(*picks)
-
-    covered = F.array_distinct(F.flatten(F.transform("cells", selections)))
+    covered = F.array_distinct(F.flatten(F.transform("cells", _covering_selections)))
     return (
-        cells.select(F.explode(covered).alias("s")).select("s.*")
+        sets.select("n", F.explode(covered).alias("s")).select("n", "s.*")
         .groupBy(*SLICE_DIMS, *[f"all_{d}" for d in SLICE_DIMS])
-        .agg(F.count(F.lit(1)).alias("unique_users"))
+        .agg(F.sum("n").alias("unique_users"))
     )
 
 

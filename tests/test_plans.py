@@ -76,7 +76,10 @@ def test_top_users_need_no_global_sort(clean):
 
 def test_unique_users_per_slice_take_one_shuffle_by_user(clean):
     text = plan(slices.slice_unique_users(clean))
-    assert text.count("Exchange ") == 2
+    by = re.findall(r"Exchange hashpartitioning\((\w+)", text)
+    # By user, then only counts: per set of cells and per selection.
+    assert by == ["post_type_label", "cells", "username"]
+    assert text.count("Exchange ") == 3
     assert "Expand" not in text
 
 
