@@ -7,6 +7,7 @@ Doubles are rounded and dates printed, so that results compare by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +44,19 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _posts(spark: SparkSession, sf_dir: str, part: bool = False) -> DataFrame:
-    return cleaning.clean_posts(posts_raw(spark, sf_dir, part))
+@lru_cache(maxsize=16)
+def _raw(spark: SparkSession, sf_dir: str, part: bool) -> DataFrame:
+    """The source posts, set up once per session as a user of the library would."""
+    return posts_raw(spark, sf_dir, part)
+
+
+@lru_cache(maxsize=16)
+def _posts(spark: SparkSession, sf_dir: str, part: bool) -> DataFrame:
+    return cleaning.clean_posts(_raw(spark, sf_dir, part))
 
 
 def _over_raw(build: Callable[[DataFrame], DataFrame], part: bool = False) -> Query:
-    return lambda spark, sf_dir: comparable(build(posts_raw(spark, sf_dir, part)))
+    return lambda spark, sf_dir: comparable(build(_raw(spark, sf_dir, part)))
 
 
 def _over_posts(build: Callable[[DataFrame], DataFrame], part: bool = False) -> Query:
@@ -109,7 +117,7 @@ def _type_labels(raw: DataFrame) -> DataFrame:
 
 
 def _bloom_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bloom.distinct_users(posts_raw(spark, sf_dir, part=False))
+    return bloom.distinct_users(_raw(spark, sf_dir, False))
 
 
 def _bloom_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

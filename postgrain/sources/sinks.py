@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import tempfile
 import time
 import uuid
 
@@ -19,10 +20,15 @@ CSV_WRITE_OPTIONS = {
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``."""
+    """A new folder below the cluster's ``spark.checkpoint.dir``.
+
+    Only a local session may leave that unset; it then gets a temporary folder.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        base = tempfile.mkdtemp(prefix="postgrain-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -58,11 +64,16 @@ def save_result(df: DataFrame, out_dir: str, name: str) -> int:
     return n
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame as Parquet and re-open it, so that what follows starts from the files."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def save_bloom(users: DataFrame, params: DataFrame, words: DataFrame, path: str) -> None:
     """The three Bloom tables: exact user set, one parameter row, 64-bit words."""
-    users.write.mode("overwrite").parquet(f"{path}/bloom_users")
-    params.write.mode("overwrite").parquet(f"{path}/bloom_params")
-    words.write.mode("overwrite").parquet(f"{path}/bloom_words")
+    for name, df in (("users", users), ("params", params), ("words", words)):
+        stored(df, f"{path}/bloom_{name}")
 
 
 def load_bloom(
