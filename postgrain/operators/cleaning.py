@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from postgrain import functions as fx
@@ -170,10 +169,5 @@ def clean_stats(raw: DataFrame) -> DataFrame:
         F.count_if(survives).alias("rows_after"),
         F.count_if(survives & F.col("sid").isNotNull()).alias("distinct_sids"),
         F.count_if(survives & F.col("first_ts").isNull()).alias("null_dates"),
-        F.lit(_clean_width(raw)).alias("column_count"),
+        F.lit(len(clean_posts(raw).columns)).alias("column_count"),
     )
-
-
-def _clean_width(raw: DataFrame) -> int:
-    cols: list[T.StructField] = clean_posts(raw).schema.fields
-    return len(cols)

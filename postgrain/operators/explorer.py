@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postgrain.operators.sampling import EXPLORER_CAP
-from postgrain.operators.slices import Selection, select_slice
+from postgrain.operators.slices import Selection, in_slice, select_slice
 from postgrain.schema import EXPLORER_COLUMNS, present
 
 
@@ -44,9 +44,9 @@ def explorer_page(
 
 def explorer_match_count(sample: DataFrame, selection: Selection) -> DataFrame:
     """Matching rows and sample size, one row."""
-    matching = select_slice(sample, selection).agg(F.count(F.lit(1)).alias("n"))
-    return sample.agg(F.count(F.lit(1)).alias("sample_rows")).select(
-        matching.scalar().alias("matching_rows"), "sample_rows"
+    return sample.agg(
+        F.count_if(in_slice(sample, selection)).alias("matching_rows"),
+        F.count(F.lit(1)).alias("sample_rows"),
     )
 
 

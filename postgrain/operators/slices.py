@@ -25,13 +25,18 @@ SUMMED = {
 FACET_CATEGORIES = 30
 
 
-def select_slice(df: DataFrame, selection: Selection, except_dim: str | None = None) -> DataFrame:
-    """Rows that match the selection, ignoring the chart's own dimension."""
+def in_slice(df: DataFrame, selection: Selection, except_dim: str | None = None) -> Column:
+    """Whether a row matches the selection, ignoring the chart's own dimension."""
+    match = F.lit(True)
     for dim in present(df, SLICE_DIMS):
         value = selection.get(dim)
         if value is not None and dim != except_dim:
-            df = df.filter(F.col(dim) == F.lit(value))
-    return df
+            match = match & (F.col(dim) == F.lit(value))
+    return match
+
+
+def select_slice(df: DataFrame, selection: Selection, except_dim: str | None = None) -> DataFrame:
+    return df.filter(in_slice(df, selection, except_dim))
 
 
 def filter_cube(posts: DataFrame) -> DataFrame:

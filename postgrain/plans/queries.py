@@ -45,9 +45,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 @lru_cache(maxsize=16)
-def _raw(spark: SparkSession, sf_dir: str, part: bool) -> DataFrame:
+def _raw(spark: SparkSession, sf_dir: str, part: bool, authors: bool = True) -> DataFrame:
     """The source posts, set up once per session as a user of the library would."""
-    return posts_raw(spark, sf_dir, part)
+    return posts_raw(spark, sf_dir, part, authors)
 
 
 @lru_cache(maxsize=16)
@@ -59,6 +59,11 @@ def _over_raw(build: Callable[[DataFrame], DataFrame], part: bool = False) -> Qu
     return lambda spark, sf_dir: comparable(build(_raw(spark, sf_dir, part)))
 
 
+def _over_items(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """For what needs neither author nor part columns."""
+    return lambda spark, sf_dir: comparable(build(_raw(spark, sf_dir, False, authors=False)))
+
+
 def _over_posts(build: Callable[[DataFrame], DataFrame], part: bool = False) -> Query:
     return lambda spark, sf_dir: comparable(build(_posts(spark, sf_dir, part)))
 
@@ -79,6 +84,19 @@ def _over_explorer(build: Callable[[DataFrame], DataFrame]) -> Query:
     return _over_posts(lambda posts: build(sampling.explorer_sample(posts)), part=True)
 
 
+def _overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns are counted, but only those of the posts' authors are joined and read."""
+    width = len(_raw(spark, sf_dir, True).columns)
+    counted = profile.overview(_raw(spark, sf_dir, False))
+    return counted.withColumn("column_count", F.lit(width))
+
+
+def _clean_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    width = len(_posts(spark, sf_dir, True).columns)
+    counted = cleaning.clean_stats(_raw(spark, sf_dir, False))
+    return counted.withColumn("column_count", F.lit(width))
+
+
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = legacy_raw(spark, sf_dir)
     path = sinks.shared_folder(spark, "legacy-csv")
@@ -154,15 +172,15 @@ QUERIES: dict[str, Query] = {
     "posts_scan": _over_raw(lambda raw: raw, part=True),
     "legacy_csv_scan": _csv_round_trip,
     # Profiles
-    "profile_overview": _over_raw(profile.overview, part=True),
+    "profile_overview": _overview,
     "profile_nulls": _over_raw(profile.source_nulls),
     "quality_summary": _over_posts(profile.quality_summary),
-    "clean_stats": _over_raw(cleaning.clean_stats, part=True),
+    "clean_stats": _clean_stats,
     # Cleaning
     "normalize_username": _over_raw(_username_forms),
-    "temporal_parts": _over_raw(_temporal_parts),
+    "temporal_parts": _over_items(_temporal_parts),
     "engagement": _over_raw(_engagement),
-    "post_type_label": _over_raw(_type_labels),
+    "post_type_label": _over_items(_type_labels),
     "dedup_sid": _over_raw(cleaning.dedup_posts, part=True),
     "posts_clean": _over_raw(lambda raw: cleaning.clean_posts(raw, dedup=True), part=True),
     "dedup_post_id": _over_legacy(lambda raw: cleaning.keep_first(_doubled_legacy(raw), "post_id")),

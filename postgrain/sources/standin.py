@@ -80,22 +80,26 @@ POST_COLUMNS = [
 ]
 
 
-def posts_raw(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
+def posts_raw(
+    spark: SparkSession, sf_dir: str, part: bool = True, authors: bool = True
+) -> DataFrame:
     """One post per line item, with its order's customer as author.
 
-    The dimension tables hold each key once, so the left joins neither add nor drop
-    rows; ``part=False`` leaves the part table and its columns out. Orders and customers
-    are joined first, while there are only orders. Line items and orders grow together,
-    so the hint has Spark shuffle both by order instead of broadcasting either.
+    The dimension tables hold each key once, so the left joins neither add nor drop rows.
+    That lets ``part=False`` and ``authors=False`` leave a join and its columns out, which
+    Spark cannot do by itself, not knowing the keys to be unique. Orders and customers are
+    joined first, while there are only orders. Line items and orders grow together, so the
+    hint has Spark shuffle both by order instead of broadcasting either.
     """
-    order_key, customer_key = F.col("o_orderkey"), F.col("c_custkey")
-    orders = table(spark, sf_dir, "orders")
-    authors = orders.join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == customer_key, "left"
-    )
-    items = table(spark, sf_dir, "lineitem").hint("merge")
-    posts = items.join(authors, F.col("l_orderkey") == order_key, "left")
-    columns = _item_columns() | _account_columns()
+    posts, columns = table(spark, sf_dir, "lineitem"), _item_columns()
+    if authors:
+        by_order = table(spark, sf_dir, "orders").join(
+            table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left"
+        )
+        posts = posts.hint("merge").join(
+            by_order, F.col("l_orderkey") == F.col("o_orderkey"), "left"
+        )
+        columns |= _account_columns()
     if part:
         parts = table(spark, sf_dir, "part")
         posts = posts.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
