@@ -62,7 +62,7 @@ if __name__ == "__main__":
     spark, con = build_session(), oracle_connection(sf_dir)
     bad = 0
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if name not in (names or entry.oracle_sql()):
             continue
         started = time.monotonic()
         try:

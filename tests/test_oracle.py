@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from postgrain.plans.oracle import ORACLE_SQL as SQL
+from postgrain.plans.queries import QUERIES
 from tests.compare import difference, oracle_connection
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
