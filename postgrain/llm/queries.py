@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, language, mixing, token_files, url_rules
+from postgrain.llm import chat, language, lm, mixing, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,12 @@ PATTERNS = [
 ]
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score_documents(table(spark, sf_dir, "documents"), fold(7) != 2, fold(7) == 3)
+    held_out = F.coalesce(fold(7) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -69,7 +75,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op3_pivotal_mix, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
+        op1_deleted_interpolation, op3_pivotal_mix, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
     )
 }
 
