@@ -68,11 +68,12 @@ def pack(texts: DataFrame, distinct: str | None = None) -> DataFrame:
 
 
 def distinct_texts(payloads: pa.ChunkedArray) -> pa.Table:
-    """What `pack` put in with ``distinct="key"``, each key once, with all its copies."""
+    """What `pack` put in with ``distinct="key"``, each key once, with all its copies, in order of keys."""
     table = from_ipc(payloads).sort_by("doc_id")
     table = table.append_column("place", pa.array(np.arange(table.num_rows)))
     first = table.group_by("key").aggregate([("place", "min"), ("copies", "sum")])
-    return table.take(first["place_min"]).drop_columns(["place", "copies"]).append_column("copies", first["copies_sum"]).combine_chunks()
+    once = table.take(first["place_min"]).drop_columns(["place", "copies"]).append_column("copies", first["copies_sum"])
+    return once.sort_by("key").combine_chunks()
 
 
 def packed_numbers(values: np.ndarray) -> bytes:
@@ -115,28 +116,30 @@ def questions(block: int, kind: int, hashes: np.ndarray, counts: np.ndarray, bit
             }
 
 
+def summed(table: pa.Table, facts: int, without: int | None = None) -> pa.Table:
+    """Answers to all questions of one owner: for each the sums over all blocks, in its order. ``total`` of the first has what
+    the owner's hashes sum to and how many have each fact, leaving the hash ``without`` out."""
+    hashes = [unpacked_sorted(x.as_py()) for x in table["hashes"]]
+    every = np.concatenate(hashes)
+    counts = np.concatenate([unpacked_numbers(x.as_py(), np.uint32).reshape(facts, -1) for x in table["counts"]], axis=1)
+    order = np.argsort(every)
+    first = np.flatnonzero(np.append(True, every[order[1:]] != every[order[:-1]]))
+    sums = np.add.reduceat(counts[:, order], first, axis=1, dtype=np.int64)
+    kept = every[order[first]] != np.uint64(without or 0)
+    total = np.concatenate([sums[:, kept].sum(axis=1), (sums[:, kept] > 0).sum(axis=1)]).astype("<i8").tobytes()
+    back = np.empty((facts, len(every)), np.uint32)
+    back[:, order] = np.repeat(np.minimum(sums, 2**32 - 1).astype(np.uint32), np.diff(first, append=len(every)), axis=1)
+    ends = np.cumsum([len(h) for h in hashes])
+    replies = [packed_numbers(np.ascontiguousarray(back[:, e - len(h) : e]).reshape(-1)) for e, h in zip(ends, hashes, strict=True)]
+    return pa.table({
+        "block": table["block"], "owner": table["owner"], "kind": table["kind"], "counts": pa.array(replies, pa.binary()),
+        "total": pa.array([total] + [None] * (len(replies) - 1), pa.binary()),
+    })
+
+
 def answered(asked: DataFrame, facts: int, without: int | None = None) -> DataFrame:
-    """For each question the sums over all blocks, in its order; ``total`` of the first has what the owner's hashes sum to and
-    how many have each fact, leaving the hash ``without`` out."""
-    def run(table: pa.Table) -> pa.Table:
-        hashes = [unpacked_sorted(x.as_py()) for x in table["hashes"]]
-        every = np.concatenate(hashes)
-        counts = np.concatenate([unpacked_numbers(x.as_py(), np.uint32).reshape(facts, -1) for x in table["counts"]], axis=1)
-        order = np.argsort(every)
-        first = np.flatnonzero(np.diff(every[order], prepend=every[order[0]] - np.uint64(1)))
-        sums = np.add.reduceat(counts[:, order], first, axis=1, dtype=np.int64)
-        kept = every[order[first]] != np.uint64(without or 0)
-        total = np.concatenate([sums[:, kept].sum(axis=1), (sums[:, kept] > 0).sum(axis=1)]).astype("<i8").tobytes()
-        back = np.empty((facts, len(every)), np.uint32)
-        back[:, order] = np.repeat(np.minimum(sums, 2**32 - 1).astype(np.uint32), np.diff(first, append=len(every)), axis=1)
-        ends = np.cumsum([len(h) for h in hashes])
-        replies = [packed_numbers(np.ascontiguousarray(back[:, e - len(h) : e]).reshape(-1)) for e, h in zip(ends, hashes, strict=True)]
-        return pa.table({
-            "block": table["block"], "owner": table["owner"], "kind": table["kind"], "counts": pa.array(replies, pa.binary()),
-            "total": pa.array([total] + [None] * (len(replies) - 1), pa.binary()),
-        })
-
-    return asked.groupBy("kind", "owner").applyInArrow(run, ANSWER)
+    """`summed` for each owner."""
+    return asked.groupBy("kind", "owner").applyInArrow(lambda table: summed(table, facts, without), ANSWER)
 
 
 def answers_of(table: pa.Table, kind: int, facts: int) -> np.ndarray:

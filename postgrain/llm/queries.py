@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, language, lm, mixing, token_files, url_rules
+from postgrain.llm import chat, language, lm, mixing, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,11 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.spans_by_document(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -75,7 +80,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_deleted_interpolation, op3_pivotal_mix, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
+        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
     )
 }
 

@@ -55,6 +55,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_tables: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    if not _tables or len(_tables[0]) < n:
+        size, inverse = max(n, SLICE_BYTES + 1), np.uint64(pow(int(_BASE), -1, 1 << 64))
+        _tables[:] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, b, np.uint64))) for b in (_BASE, inverse)]
+    return _tables[0][:n], _tables[1][:n]
+
+
+def running_sums(raw: np.ndarray) -> np.ndarray:
+    """Sums of bytes times powers before each place; differences of these give the hash of any span."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(len(raw))[0], out=sums[1:])
+    return sums
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span's bytes."""
+    sums = running_sums(raw)
+    return mixed((sums[ends] - sums[starts]) * powers(len(raw) + 1)[1][starts] + (ends - starts).astype(np.uint64))
+
+
 def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of each word, first word of each row plus the end)."""
     inside = ~_SPACE[raw]

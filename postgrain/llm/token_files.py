@@ -15,8 +15,9 @@ import os
 import struct
 import uuid
 import zlib
-from collections import OrderedDict
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -29,14 +30,14 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from postgrain.llm.store import shared_dir
-from postgrain.llm.text import buffers, slices
+from postgrain.llm.text import buffers, slices, span_hashes
 
 MAGIC = b"PGWM"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 _BLOCK = 512
-# Pieces whose ids a task remembers, about 100 bytes each.
-REMEMBERED = 400_000
+# Pieces whose ids a Python worker remembers, some 35 bytes each.
+REMEMBERED = 2_000_000
 
 
 class WaveletMatrix:
@@ -49,9 +50,10 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, depth: int) -> WaveletMatrix:
         planes, level = [], ids
         for bit in range(depth - 1, -1, -1):
-            ones = ((level >> bit) & 1).astype(bool)
+            ones = (level & level.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            level = np.concatenate([level[~ones], level[ones]])
+            # Places are found and taken faster than a mask is applied.
+            level = np.concatenate([level[np.flatnonzero(~ones)], level[np.flatnonzero(ones)]])
         return cls(len(ids), planes)
 
     def all(self) -> np.ndarray:
@@ -61,8 +63,8 @@ class WaveletMatrix:
             ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             zeros = self.n - int(np.count_nonzero(ones))
             up = np.empty_like(level)
-            up[~ones] = level[:zeros]
-            up[ones] = level[zeros:] | level.dtype.type(1 << bit)
+            up[np.flatnonzero(~ones)] = level[:zeros]
+            up[np.flatnonzero(ones)] = level[zeros:] | level.dtype.type(1 << bit)
             level = up
         return level
 
@@ -150,52 +152,90 @@ def from_bytes(content: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
 
 
 class Encoder:
-    """Token ids of whole texts; each distinct piece of a text is encoded once.
+    """Token ids of whole texts; each distinct piece of a text is encoded once, and remembered.
 
-    A text is cut before a space that stands alone between two characters that are surely no white space: ASCII
-    0x21-0x7E, U+00C0-U+00FF and, on its right, all up to U+07FF. The tokenizer's own pattern always cuts there, since only
-    white space joins what stands before a space to it, so the pieces' ids in a row are the whole text's.
+    A text is cut only where the tokenizer's own pattern always cuts: before a space that stands alone between two characters
+    that are no white space, around a line feed that does, and where ASCII letters (or U+00C0-U+00FF letters on the left), digits and
+    other ASCII signs meet, but for an apostrophe on the left, which may begin a contraction. So the pieces' ids in a row are the
+    whole text's. Pieces are told apart by 64-bit hashes.
     """
 
-    _EDGE = np.zeros(256, bool)
-    _EDGE[0x21:0x7F] = True
+    _LETTER, _DIGIT, _SIGN, _APOSTROPHE = (np.zeros(256, bool) for _ in range(4))
+    _LETTER[[*range(65, 91), *range(97, 123)]] = True
+    _DIGIT[48:58] = True
+    _SIGN[0x21:0x7F] = True
+    _SIGN &= ~_LETTER & ~_DIGIT
+    _APOSTROPHE[0x27] = True
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = np.empty(0, np.uint64)  # sorted hashes of pieces
+        self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # where their ids are
+        self.flat = np.empty(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
+
+    def _cuts(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        cut = np.zeros(len(raw) + 1, bool)
+        letter, digit, sign = self._LETTER[raw], self._DIGIT[raw], self._SIGN[raw]
+        left = letter.copy()
+        left[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        cut[1:-1] = left[:-1] & (sign | digit)[1:] | digit[:-1] & (letter | sign)[1:] | (sign & ~self._APOSTROPHE[raw])[:-1] & (letter | digit)[1:]
+        solid = left | digit | sign
+        after = (letter | digit | sign | (raw >= 0xC3) & (raw <= 0xDF))[2:]
+        alone = solid[:-2] & after
+        cut[1:-2] |= alone & ((raw[1:-1] == 0x20) | (raw[1:-1] == 0x0A))
+        cut[2:-1] |= alone & (raw[1:-1] == 0x0A)
+        cut[at] = True
+        return np.flatnonzero(cut)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        begin = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), self.flat.dtype, int(size.sum()))])
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.known, hashes[order])
+        self.known = np.insert(self.known, place, hashes[order])
+        self.begin = np.insert(self.begin, place, begin[order])
+        self.size = np.insert(self.size, place, size[order])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)"""
         raw, at = buffers(texts)
-        cut = np.zeros(len(raw) + 1, bool)
-        if len(raw) > 2:
-            left, right = self._EDGE[raw[:-2]], raw[2:]
-            left[1:] |= (raw[:-3] == 0xC3) & (raw[1:-2] >= 0x80)
-            cut[1:-2] = (raw[1:-1] == 0x20) & left & (self._EDGE[right] | (right >= 0xC3) & (right <= 0xDF))
-        cut[at] = True
-        cuts = np.flatnonzero(cut)
-        if len(cuts) < 2:
-            return np.empty(0, np.uint16), np.zeros(len(at) - 1, np.int64)
-        pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw)))
-        coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.known]
-        fresh = {p: np.array(e.ids, np.uint32) for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        ids_of = [fresh[p] if p in fresh else self.known[p] for p in distinct]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-        if len(fresh) <= REMEMBERED:
-            self.known |= fresh
-        size_of = np.array([len(x) for x in ids_of], np.int64)
-        flat, begin_of = np.concatenate(ids_of), np.cumsum(size_of) - size_of
-        index = coded.indices.to_numpy()
-        sizes = size_of[index]
+        if len(raw) < 3:  # too short for the cuts to be looked for
+            raw, at, pad = np.concatenate([raw, np.full(3, 0x20, np.uint8)]), np.append(at, len(raw) + 3), 1
+        else:
+            pad = 0
+        cuts = self._cuts(raw, at)
+        coded = pa.array(span_hashes(raw, cuts[:-1], cuts[1:])).dictionary_encode()
+        hashes, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        if len(self.known) + len(hashes) > REMEMBERED:
+            self.forget()
+        at_known = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        new = np.flatnonzero(self.known[at_known] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            first = np.empty(len(hashes), np.int64)
+            first[index[::-1]] = np.arange(len(index) - 1, -1, -1)
+            some = raw.tobytes()
+            starts, ends = cuts[first[new]].tolist(), cuts[first[new] + 1].tolist()
+            self._learn(hashes[new], [some[a:b].decode() for a, b in zip(starts, ends, strict=True)])
+            at_known = np.searchsorted(self.known, hashes)
+        sizes = self.size[at_known][index]
         ends = np.cumsum(sizes)
-        ids = flat[np.repeat(begin_of[index] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        ids = self.flat[np.repeat(self.begin[at_known][index] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
         upto = np.concatenate([[0], ends])[np.searchsorted(cuts, at)]
-        return ids, np.diff(upto)
+        sizes = np.diff(upto)
+        return (ids[: upto[-2]], sizes[:-1]) if pad else (ids, sizes)
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def _with_ends(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
@@ -215,7 +255,7 @@ def write_token_files(documents: DataFrame, path: str, *, tokenizer: str = TOKEN
     at = public_tokenizers.path(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(at)
+        encoder = _encoder(at)
         depth = max(1, (encoder.vocabulary - 1).bit_length())
         kind = np.uint16 if depth <= 16 else np.uint32
         doc_ids, lengths, ids = [], [], []
@@ -254,10 +294,8 @@ def read_token_files(spark, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"], strict=True):
                 doc_ids, lengths, matrix = from_bytes(content.as_buffer().to_pybytes())
-                ids = matrix.all().astype("<u4")
-                ends = np.cumsum(lengths)
-                raw = memoryview(ids).cast("B")
-                crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+                ids, ends = matrix.all(), np.cumsum(lengths)
+                crc = [zlib.crc32(ids[e - n : e].astype("<u4")) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 shard = int(name.as_py().rpartition("-")[2].removesuffix(".pgwm"))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(doc_ids, pa.int64()), "shard": pa.array([shard] * len(crc), pa.int64()),
