@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, language, lm, mixing, repeats, token_files, url_rules
+from postgrain.llm import chat, language, lm, mixing, neighbours, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,10 @@ def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge_urls(table(spark, sf_dir, "pages"), [*SITE_RULES, *PATTERNS])
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -80,7 +84,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
+        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
     )
 }
 
