@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, language, lm, mixing, neighbours, repeats, token_files, url_rules
+from postgrain.llm import chat, decontaminate, language, lm, mixing, neighbours, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start", "distance", "n_windows")
+
+
 def op8_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = token_files.token_index(table(spark, sf_dir, "documents"))
     return index.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "position")
@@ -84,7 +89,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op6_url_filter, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
+        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op6_url_filter, op7_benchmark_leaks, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
     )
 }
 
