@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, decontaminate, language, lm, mixing, neighbours, repeats, token_files, url_rules
+from postgrain.llm import chat, decontaminate, jaccard_join, language, lm, mixing, neighbours, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,10 @@ def op4_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.component_of(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge_urls(table(spark, sf_dir, "pages"), [*SITE_RULES, *PATTERNS])
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -89,7 +93,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op6_url_filter, op7_benchmark_leaks, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
+        op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op5_jaccard_join, op6_url_filter, op7_benchmark_leaks, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
     )
 }
 
