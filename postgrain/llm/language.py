@@ -96,3 +96,12 @@ def identify(documents: DataFrame, dictionaries: list[tuple[str, bytes]], *, mar
     own = documents.drop("language")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
     return own.mapInArrow(run, f"{fields}, language {result}")
+
+
+def accepted(documents: DataFrame, dictionaries: list[tuple[str, bytes]], **options) -> DataFrame:
+    """The documents that are not rejected, with their columns. When nothing was learned, those with a letter all stay."""
+    if not dictionaries:
+        return documents.where(F.col("text").rlike(r"\p{L}"))
+    judged = documents.withColumn("__own", F.struct(*[F.col(f"`{c}`") for c in documents.columns])).select("__own", F.col("text"))
+    kept = identify(judged, dictionaries, **options).where(~F.col("language.rejected"))
+    return kept.select(*[F.col(f"__own.`{c}`").alias(c) for c in documents.columns])
