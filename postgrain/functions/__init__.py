@@ -6,11 +6,11 @@ from postgrain.functions.columns import (
     per_follower,
     post_type_label,
 )
-from postgrain.functions.hashing import bit_mask, code_points, djb2, row_digest, sdbm
+from postgrain.functions.hashing import bit_mask, code_points, djb2, sdbm, wide_hashes
 from postgrain.functions.temporal import date_parts, parse_legacy_timestamp, parse_post_timestamp
 
 __all__ = [
     "account_label", "bit_mask", "code_points", "date_parts", "djb2", "engagement",
     "location_or_unknown", "normalize_username", "parse_legacy_timestamp",
-    "parse_post_timestamp", "per_follower", "post_type_label", "row_digest", "sdbm",
+    "parse_post_timestamp", "per_follower", "post_type_label", "sdbm", "wide_hashes",
 ]

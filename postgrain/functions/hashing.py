@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,13 +38,15 @@ def sdbm(points: Column) -> Column:
     return F.greatest(F.lit(1).cast("bigint"), _polynomial(points, SDBM_SEED, SDBM_FACTOR))
 
 
+def wide_hashes(text: Column) -> list[Column]:
+    """Two base hashes of 60 bits, ``h1`` and ``h2``, from the MD5; the second is never 0."""
+    digest = F.md5(text)
+    part = lambda start: F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
+    return [part(1).alias("h1"), F.greatest(F.lit(1).cast("bigint"), part(16)).alias("h2")]
+
+
 def bit_mask(position: Column) -> Column:
     """64-bit word with the single bit ``position mod 64`` set."""
     return F.call_function(
         "shiftleft", F.lit(1).cast("bigint"), (position % WORD_BITS).cast("int")
     )
-
-
-def row_digest(columns: Iterable[Column]) -> Column:
-    """Hex MD5 of the given columns, the same however the rows are partitioned."""
-    return F.md5(F.concat_ws("|", *[c.cast("string") for c in columns]))

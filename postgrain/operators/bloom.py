@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from postgrain import functions as fx
 from postgrain.functions.hashing import WORD_BITS
 
-HASH_VERSION = "doublehash-1"
+# Version 1 has two base hashes of 31 bits, version 2 two of 60 bits, for filters of any size.
+HASH_VERSION, WIDE_HASH_VERSION = "doublehash-1", "doublehash-2"
 
 # Target rate and the bounds of array size and hash count.
 FALSE_POSITIVE_TARGET = 0.01
@@ -25,8 +26,8 @@ MIN_HASHES, MAX_HASHES = 2, 20
 POSSIBLY_PRESENT, DEFINITELY_ABSENT = "POSSIBLY PRESENT", "DEFINITELY ABSENT"
 PRESENT, ABSENT = "PRESENT", "ABSENT"
 
-# Sizes and spelling of the evaluation probes.
-POSITIVE_PROBES, FAR_PROBES, NEAR_PROBES = 200, 500, 300
+# Sizes and spelling of the evaluation's negative probes.
+FAR_PROBES, NEAR_PROBES = 500, 300
 FAR_PREFIX = "not_a_real_user_"
 MUTATION_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -37,8 +38,14 @@ def distinct_users(posts: DataFrame, user: str = "username") -> DataFrame:
     return posts.select(name.alias("username")).filter("username != ''").distinct()
 
 
-def bloom_params(users: DataFrame, target: float = FALSE_POSITIVE_TARGET) -> DataFrame:
-    """Number of users, bits and hash functions, and the expected rate: one row."""
+def bloom_params(
+    users: DataFrame, target: float = FALSE_POSITIVE_TARGET, version: str = HASH_VERSION
+) -> DataFrame:
+    """Number of users, bits and hash functions, and the expected rate: one row.
+
+    ``version`` names the base hashes. Those of version 1 stop spreading once there are more than
+    2**31 bits, some 220 million users; take version 2 for more.
+    """
     ln2 = F.lit(math.log(2.0))
     n = F.col("n").cast("double")
     m = F.col("m").cast("double")
@@ -53,40 +60,44 @@ def bloom_params(users: DataFrame, target: float = FALSE_POSITIVE_TARGET) -> Dat
         .withColumn("k", k)
         .withColumn("false_positive_target", F.lit(target))
         .withColumn("theoretical_fpr", F.pow(1.0 - load, F.col("k")))
-        .withColumn("hash_version", F.lit(HASH_VERSION))
+        .withColumn("hash_version", F.lit(version))
     )
 
 
-def hashes(users: DataFrame) -> DataFrame:
+def hashes(users: DataFrame, version: str = HASH_VERSION) -> DataFrame:
     """``username`` with its two base hashes."""
+    if version == WIDE_HASH_VERSION:
+        return users.select("username", *fx.wide_hashes(F.col("username")))
     points = users.select("username", fx.code_points(F.col("username")).alias("points"))
     return points.select(
         "username", fx.djb2(F.col("points")).alias("h1"), fx.sdbm(F.col("points")).alias("h2")
     )
 
 
-def positions(users: DataFrame, params: DataFrame) -> DataFrame:
-    """The k bit positions of each user name: ``(h1 + i * h2) mod m``."""
-    sized = hashes(users).withColumns({
+def positions(hashed: DataFrame, params: DataFrame) -> DataFrame:
+    """The k bit positions of each pair of base hashes: ``(h1 + i * h2) mod m``."""
+    sized = hashed.select("h1", "h2").withColumns({
         "m": params.select("m").scalar(), "k": params.select("k").scalar(),
     })
-    spread = sized.select("username", "h1", "h2", "m", F.explode(
+    spread = sized.select("h1", "h2", "m", F.explode(
         F.sequence(F.lit(0), F.col("k") - 1)
     ).alias("i"))
-    return spread.select(
-        "username", ((F.col("h1") + F.col("i") * F.col("h2")) % F.col("m")).alias("position")
-    )
+    # Reduced before they are multiplied, so that 60-bit hashes do not overflow.
+    place = (F.col("h1") % F.col("m") + F.col("i") * (F.col("h2") % F.col("m"))) % F.col("m")
+    return spread.select("h1", "h2", place.alias("position"))
 
 
 def word_of(position: Column) -> Column:
     return F.shiftright(position, int(math.log2(WORD_BITS)))
 
 
-def bloom_words(users: DataFrame, params: DataFrame) -> DataFrame:
+def bloom_words(
+    users: DataFrame, params: DataFrame, version: str = HASH_VERSION
+) -> DataFrame:
     """The bit array. Bits are OR-ed in the map tasks before the shuffle on ``word``."""
     at = F.col("position")
     return (
-        positions(users, params)
+        positions(hashes(users, version), params)
         .groupBy(word_of(at).alias("word"))
         .agg(F.bit_or(fx.bit_mask(at)).alias("bits"))
     )
@@ -97,24 +108,28 @@ def distinct_probes(probes: DataFrame, column: str) -> DataFrame:
     return distinct_users(probes, column)
 
 
-def bloom_lookup(probes: DataFrame, words: DataFrame, params: DataFrame) -> DataFrame:
+def bloom_lookup(
+    probes: DataFrame, words: DataFrame, params: DataFrame, version: str = HASH_VERSION
+) -> DataFrame:
     """``(username, bloom_hit)`` for distinct probes: are all of its k bits set?
 
-    The bits are found with an inner join, so that Spark may broadcast whichever side
+    The verdict depends on the two base hashes alone, so only these go through the join with the
+    bits, k times each, and not the names. It is an inner join: Spark may broadcast whichever side
     it measures as small, a short probe list or a small filter, and otherwise joins the
     two by shuffling on ``word``, by which the filter is already partitioned.
     """
     at = F.col("position")
+    hashed = hashes(probes.select("username"), version)
     found = (
-        positions(probes, params)
+        positions(hashed.select("h1", "h2").distinct(), params)
         .withColumn("word", word_of(at))
         .join(words, "word")
         .filter(F.col("bits").bitwiseAND(fx.bit_mask(at)) != 0)
-        .groupBy("username")
+        .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("bits_found"))
     )
     hit = F.coalesce(F.col("bits_found"), F.lit(0)) == params.select("k").scalar()
-    return probes.join(found, "username", "left").select("username", hit.alias("bloom_hit"))
+    return hashed.join(found, ["h1", "h2"], "left").select("username", hit.alias("bloom_hit"))
 
 
 def exact_lookup(probes: DataFrame, users: DataFrame) -> DataFrame:
@@ -125,11 +140,15 @@ def exact_lookup(probes: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def bloom_membership(probes: DataFrame, words: DataFrame, params: DataFrame) -> DataFrame:
+def bloom_membership(
+    probes: DataFrame, words: DataFrame, params: DataFrame, version: str = HASH_VERSION
+) -> DataFrame:
     verdict = F.when(F.col("bloom_hit"), F.lit(POSSIBLY_PRESENT)).otherwise(
         F.lit(DEFINITELY_ABSENT)
     )
-    return bloom_lookup(probes, words, params).select("username", verdict.alias("bloom_verdict"))
+    return bloom_lookup(probes, words, params, version).select(
+        "username", verdict.alias("bloom_verdict")
+    )
 
 
 def exact_membership(probes: DataFrame, users: DataFrame) -> DataFrame:
@@ -151,24 +170,23 @@ def mutate_one_character(name: Column) -> Column:
     return F.overlay(name, letter, place, F.lit(1))
 
 
-def bloom_probe_set(users: DataFrame) -> DataFrame:
-    """``(username, probe_group)``: known users, invented names and near misses.
+def bloom_probe_set(
+    users: DataFrame, far_probes: int = FAR_PROBES, near_probes: int = NEAR_PROBES
+) -> DataFrame:
+    """``(username, probe_group)``: all known users, invented names and near misses.
 
-    At most 200 + 500 + 300 rows. Names that are users are dropped from the two
-    negative groups; the user set is only filtered against these few names.
+    Names that are users are dropped from the two negative groups, which have as many rows as
+    the arguments say at most; the user set is only filtered against these.
     """
     spark = users.sparkSession
-    positive = (
-        users.orderBy(F.md5("username"), "username").limit(POSITIVE_PROBES)
-        .withColumn("probe_group", F.lit("positive"))
-    )
-    far = spark.range(1, FAR_PROBES + 1).select(
+    positive = users.select("username", F.lit("positive").alias("probe_group"))
+    far = spark.range(1, far_probes + 1).select(
         F.concat(F.lit(FAR_PREFIX), F.col("id").cast("string")).alias("username"),
         F.lit("far_negative").alias("probe_group"),
     )
     seeds = users.orderBy(F.md5(F.concat(F.lit("near"), "username")), "username")
     near = (
-        seeds.limit(NEAR_PROBES)
+        seeds.limit(near_probes)
         .select(mutate_one_character(F.col("username")).alias("username"))
         .distinct()
         .withColumn("probe_group", F.lit("near_miss"))
@@ -179,14 +197,15 @@ def bloom_probe_set(users: DataFrame) -> DataFrame:
 
 
 def bloom_evaluation(
-    users: DataFrame, params: DataFrame, words: DataFrame, probe_set: DataFrame
+    params: DataFrame, words: DataFrame, probe_set: DataFrame, data_source: str,
+    version: str = HASH_VERSION,
 ) -> DataFrame:
     """One row: sizes, false negatives, and false positives of both negative groups.
 
     ``negative_*`` counts the invented names, ``near_*`` the one-character mutations.
     """
     checked = probe_set.join(
-        bloom_lookup(probe_set.select("username").distinct(), words, params), "username"
+        bloom_lookup(probe_set.select("username").distinct(), words, params, version), "username"
     )
     group, hit = F.col("probe_group"), F.col("bloom_hit")
     tally = checked.agg(
@@ -203,6 +222,7 @@ def bloom_evaluation(
         "theoretical_fpr": "theoretical_fpr",
     }
     return tally.select(
+        F.lit(data_source).alias("data_source"),
         *[params.select(src).scalar().alias(name) for name, src in names.items()],
         "*",
         F.try_divide("false_positives", "negative_queries").alias("false_positive_rate"),

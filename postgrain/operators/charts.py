@@ -1,4 +1,4 @@
-"""The data behind the charts. Row-level charts take a bounded sample of the posts."""
+"""The data behind the charts. Scatter charts take a sample, all others the posts or their roll-ups."""
 
 from __future__ import annotations
 
@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from postgrain import functions as fx
 
-# Number of grade bins, and the fewest rows worth binning.
+# Fixed value: number of grade bins.
 GRADE_BINS = 10
-MIN_ROWS_TO_BIN = 50
 
 
 def business_engagement(accounts: DataFrame) -> DataFrame:
@@ -46,15 +45,15 @@ def followers_vs_engagement(sample: DataFrame) -> DataFrame:
 
 
 def grade_bins(
-    sample: DataFrame, grade: str, bins: int = GRADE_BINS, min_rows: int = MIN_ROWS_TO_BIN
+    posts: DataFrame, grade: str, bins: int = GRADE_BINS, min_rows: int = 0
 ) -> DataFrame:
     """Mean likes per equal-width grade bin, as ``(bin, upper_edge, post_count, mean_likes)``.
 
     Bins are closed on the right; the first also holds the minimum. Empty bins are left
-    out, and with fewer than ``min_rows`` rows there is no output. If all grades are
+    out; with fewer than ``min_rows`` rows, if that is asked for, there is no output. If all grades are
     equal they share the middle bin.
     """
-    rows = sample.filter(F.col(grade).isNotNull() & (F.col("likes") >= 0)).select(
+    rows = posts.filter(F.col(grade).isNotNull() & (F.col("likes") >= 0)).select(
         F.col(grade).cast("double").alias("grade"), "likes"
     )
     span = rows.agg(

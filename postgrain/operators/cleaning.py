@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from postgrain import functions as fx
-from postgrain.schema import LEGACY_IDS, LEGACY_METRICS, POST_METRICS, POST_TEXT, present
+from postgrain.schema import (
+    LEGACY_IDS, LEGACY_METRICS, POST_METRICS, POST_TEXT, present, user_column,
+)
 
 
 def with_normalized_user(df: DataFrame, user: str = "username") -> DataFrame:
@@ -20,8 +22,11 @@ def drop_unusable_users(df: DataFrame, user: str = "username") -> DataFrame:
 
 
 def with_metric_doubles(df: DataFrame, metrics: list[str]) -> DataFrame:
-    """Metrics as doubles. Text that is no number becomes NULL instead of an error."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in present(df, metrics)})
+    """Metrics as doubles. Text that is no number, NaN and infinities become NULL."""
+    finite = {c: F.col(c).try_cast("double") for c in present(df, metrics)}
+    return df.withColumns({
+        c: F.when(F.abs(v) < float("inf"), v) for c, v in finite.items()
+    })
 
 
 def with_ids_as_text(df: DataFrame) -> DataFrame:
@@ -63,15 +68,18 @@ def with_empty_text(df: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: str, first: list[Column] | None = None) -> DataFrame:
-    """One row per ``key``: the first by ``first``, then by all other columns.
+    """One row per ``key``: the first by ``first``, then by all other columns. Rows without key all stay.
 
     Ordering by every column makes the survivor independent of partitioning. Spark
     cuts each map task down to one row per key before the shuffle (WindowGroupLimit),
     so a key that holds much of the data does not gather in one task.
     """
     rest = [F.col(f.name) for f in df.schema.fields if f.name != key]
-    order = Window.partitionBy(key).orderBy(*(first or []), *rest)
-    return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    order = Window.partitionBy(key, "_alone").orderBy(*(first or []), *rest)
+    # Each row without key is a group of its own, so they neither vanish nor gather in one task.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    ranked = df.withColumn("_alone", alone).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter("_rank = 1").drop("_rank", "_alone")
 
 
 def dedup_posts(df: DataFrame) -> DataFrame:
@@ -111,7 +119,9 @@ def clean_legacy(raw: DataFrame, dedup: bool = True) -> DataFrame:
             drop_unusable_users, "user_posted"
         )
     if dedup and "post_id" in df.columns:
-        df = keep_first(df, "post_id")
+        dated = "date_posted" in df.columns
+        earliest = [fx.parse_legacy_timestamp(F.col("date_posted")).asc_nulls_last()] if dated else None
+        df = keep_first(df, "post_id", earliest)
     df = with_metric_doubles(df, LEGACY_METRICS)
     if {"likes", "num_comments"} <= set(df.columns):
         total = fx.engagement(F.col("likes"), F.col("num_comments"))
@@ -145,29 +155,41 @@ def to_canonical(legacy: DataFrame) -> DataFrame:
 
 
 def clean_stats(raw: DataFrame) -> DataFrame:
-    """Row counts before and after cleaning with de-duplication, as one row.
+    """Row counts before and after cleaning with de-duplication, as one row, for either layout.
 
-    One scan and one shuffle of (sid, two counts, earliest date): since the earliest
-    readable date survives de-duplication, its minimum per sid says whether the
-    survivor has a date, and no whole row needs to be compared.
+    One scan and one shuffle of (id, three counts, earliest date): since the earliest
+    readable date survives de-duplication, its minimum per id says whether the
+    survivor has a date, and no whole row needs to be compared. Rows without id all stay: they are
+    counted apart and are no distinct id.
     """
-    user = fx.normalize_username(F.col("username"))
+    primary = "sid" in raw.columns
+    key, date = ("sid", "date") if primary else ("post_id", "date_posted")
+    parse = fx.parse_post_timestamp if primary else fx.parse_legacy_timestamp
+    cleaned = clean_posts(raw) if primary else clean_legacy(raw)
+    user = fx.normalize_username(F.col(user_column(raw)))
     usable = F.coalesce(user != "", F.lit(False))
-    parsed = fx.parse_post_timestamp(F.col("date"))
-    per_sid = raw.groupBy("sid").agg(
+    parsed = parse(F.col(date))
+    per_id = raw.groupBy(F.col(key).alias("id")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(usable).alias("kept"),
+        F.count_if(usable & parsed.isNull()).alias("dateless"),
         F.min(F.when(usable, parsed)).alias("first_ts"),
     )
-    survives = F.col("kept") > 0
-    return per_sid.agg(
+    named = F.col("id").isNotNull()
+    survives = named & (F.col("kept") > 0)
+    without = F.coalesce(F.sum(F.when(~named, F.col("kept"))), F.lit(0))
+    return per_id.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),
         F.coalesce(F.sum(F.col("n") - F.col("kept")), F.lit(0)).alias("unusable_users_removed"),
         F.coalesce(F.sum(F.when(survives, F.col("kept") - 1)), F.lit(0)).alias(
             "duplicate_sids_removed"
         ),
-        F.count_if(survives).alias("rows_after"),
-        F.count_if(survives & F.col("sid").isNotNull()).alias("distinct_sids"),
-        F.count_if(survives & F.col("first_ts").isNull()).alias("null_dates"),
-        F.lit(len(clean_posts(raw).columns)).alias("column_count"),
+        (F.count_if(survives) + without).alias("rows_after"),
+        F.count_if(survives).alias("distinct_sids"),
+        without.alias("rows_without_id"),
+        (
+            F.count_if(survives & F.col("first_ts").isNull())
+            + F.coalesce(F.sum(F.when(~named, F.col("dateless"))), F.lit(0))
+        ).alias("null_dates"),
+        F.lit(len(cleaned.columns)).alias("column_count"),
     )

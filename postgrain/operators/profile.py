@@ -9,11 +9,14 @@ from postgrain.schema import QUALITY_COLUMNS, present, user_column
 
 
 def overview(df: DataFrame) -> DataFrame:
-    """Row count, column count and distinct users (as stored), one row."""
+    """Row count, column count and distinct users, one row. Users are counted as stored; a missing one is a value."""
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.lit(len(df.columns)).alias("column_count"),
-        F.count_distinct(user_column(df)).alias("distinct_usernames"),
+        (
+            F.count_distinct(user_column(df))
+            + F.coalesce(F.max(F.col(user_column(df)).isNull().cast("int")), F.lit(0))
+        ).alias("distinct_usernames"),
     )
 
 
@@ -40,7 +43,7 @@ def quality_long(df: DataFrame) -> DataFrame:
     wide = quality_summary(df)
     nulls = [c for c in wide.columns if c != "total_posts"]
     return wide.unpivot([], nulls, "column_name", "null_count").withColumn(
-        "column_name", F.substring("column_name", len("null_") + 1, 1000)
+        "column_name", F.expr("substr(column_name, 6)")
     )
 
 

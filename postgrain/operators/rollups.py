@@ -48,33 +48,37 @@ def medians(posts: DataFrame, exact: bool = False, accuracy: int = 10_000) -> Da
     ])
 
 
+SUMMARY_AVERAGES = ["likes", "comments", "followers", "engagement", "engagement_rate"]
+
+
 def overall_counts(posts: DataFrame) -> DataFrame:
-    """Totals, distinct users and averages, one row.
+    """Totals, distinct users and averages, one row, from one read of the posts.
 
-    Distinct users are counted from the user column alone: in one aggregate with the
-    averages, every average would be carried through the shuffle once per user.
+    Sums and counts are combined per user, in the map tasks first, and then over the users, so that
+    users need no count of their own.
     """
-    users = posts.agg(F.count_distinct(user_column(posts)).alias("n"))
+    summed = present(posts, SUMMARY_AVERAGES)
+    measures = [fn(c).alias(f"{fn.__name__}_{c}") for c in summed for fn in (F.sum, F.count)]
     flags = []
     if "is_business_account" in posts.columns:
         flag = F.col("is_business_account")
-        flags = [
-            F.count_if(flag).alias("business_post_count"),
-            F.count_if(~flag).alias("non_business_post_count"),
-        ]
-    totals = posts.agg(
-        F.count(F.lit(1)).alias("total_posts"),
-        *averages(posts, ["likes", "comments", "followers", "engagement", "engagement_rate"]),
-        *flags,
+        measures += [F.count_if(flag).alias("business"), F.count_if(~flag).alias("other")]
+        flags = [("business", "business_post_count"), ("other", "non_business_post_count")]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    users = posts.groupBy(F.col(user_column(posts)).alias("user")).agg(F.count(F.lit(1)).alias("n"), *measures)
+    return users.agg(
+        total("n").alias("total_posts"),
+        *[F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}")).alias(f"avg_{c}") for c in summed],
+        *[total(c).alias(name) for c, name in flags],
+        F.count("user").alias("unique_users"),
     )
-    return totals.withColumn("unique_users", users.scalar())
 
 
 def overall_summary(posts: DataFrame, exact_medians: bool = False) -> DataFrame:
-    """Counts, averages and medians side by side in one row."""
-    summary = overall_counts(posts)
+    """Counts, averages and medians side by side in one row; the medians are one subquery, with a narrow read of its own."""
     middle = medians(posts, exact=exact_medians)
-    return summary.withColumns({c: middle.select(c).scalar() for c in middle.columns})
+    both = middle.select(F.struct(*middle.columns).alias("m")).scalar()
+    return overall_counts(posts).withColumn("m", both).select("*", "m.*").drop("m")
 
 
 def content_analysis(posts: DataFrame) -> DataFrame:

@@ -1,31 +1,57 @@
 """Repeatable row samples.
 
-A row is drawn by an MD5 of its own values, so the sample does not depend on the
-number of partitions, and many rows of one post or one user are drawn one by one.
+A row is drawn by an MD5 of its own values and of its number among equal rows, so the
+sample does not depend on the number of partitions, and copies are drawn one by one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from pyspark.sql.window import Window
 
 from postgrain import functions as fx
 from postgrain.schema import SAMPLE_OPTIONAL, SAMPLE_REQUIRED, present, user_column
 
 SAMPLE_FRACTION = 0.01
-SAMPLE_CAP = 5_000
-EXPLORER_CAP = 10_000
 
-# Hex digits by which lowest_digests counts: at most 16**4 counters, and a whole table
-# is cut to the sample and one part in 16**4.
-PREFIX_DIGITS = 4
+# Hex digits by which lowest_digests counts: at most 16**6 counters, and a whole table
+# is cut to the sample and one part in 16**6.
+PREFIX_DIGITS = 6
 
+# Copies of a row that one array holds while they are drawn.
+COPIES_AT_ONCE = 1000
 
-def digest_of(posts: DataFrame) -> Column:
-    """The sampling digest: post id, date and user, of those the frame has."""
-    names = present(posts, ["sid", "post_id", "date", "date_posted", user_column(posts)])
-    return fx.row_digest([F.col(c) for c in names])
+
+def identity_of(posts: DataFrame) -> list[str]:
+    """Post id, date and user, of those the frame has."""
+    return present(posts, ["sid", "post_id", "date", "date_posted", user_column(posts)])
+
+
+def _text(df: DataFrame, name: str) -> Column:
+    """A value as text that other engines print alike."""
+    fractional = isinstance(df.schema[name].dataType, (DoubleType, FloatType, DecimalType))
+    col = F.col(name).cast("decimal(38,6)") if fractional else F.col(name)
+    return col.cast("string")
+
+
+def _each_copy(rows: DataFrame, keep: Column | None = None) -> DataFrame:
+    """The rows with ``_digest``, a row for each of its copies; only those ``keep`` accepts.
+
+    Equal rows are counted in the map tasks and travel as one row and a number. Their copies are
+    numbered in blocks, so a row that fills the table makes no array of its size.
+    """
+    columns = rows.columns
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    base = F.concat_ws("|", *[_text(rows, c) for c in columns])
+    last = F.floor((F.col("_n") - 1) / COPIES_AT_ONCE)
+    blocks = counted.withColumn("_base", base).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    first = F.col("_block") * COPIES_AT_ONCE
+    numbers = F.sequence(first, F.least(F.col("_n"), first + COPIES_AT_ONCE) - 1)
+    digests = F.transform(numbers, lambda i: F.md5(F.concat_ws("|", F.col("_base"), i.cast("string"))))
+    each = blocks.withColumn("_digest", F.explode(digests))
+    return (each if keep is None else each.filter(keep)).select(*columns, "_digest")
 
 
 def fraction_prefix(fraction: float) -> str:
@@ -39,8 +65,7 @@ def lowest_digests(rows: DataFrame, cap: int) -> DataFrame:
     A plain ``orderBy().limit(cap)`` would send ``cap`` rows from every task to a single
     one. Here a first pass over the digest alone counts rows per digest prefix, combined in
     the map tasks, and finds the prefix up to which there are ``cap`` rows. Only the rows up
-    to it are collected. Copies of one row travel as a row and a count, so they cannot pile
-    up in a task either.
+    to it are collected.
     """
     columns = [c for c in rows.columns if c != "_digest"]
     prefix = F.substring("_digest", 1, PREFIX_DIGITS)
@@ -53,35 +78,27 @@ def lowest_digests(rows: DataFrame, cap: int) -> DataFrame:
     )
     # No cutoff means fewer rows than wanted: keep all of them.
     kept = rows.filter(F.coalesce(prefix <= cutoff.scalar(), F.lit(True)))
-
-    order = ["_digest", *columns]
-    first = kept.groupBy(*order).agg(F.count(F.lit(1)).alias("_n")).orderBy(*order).limit(cap)
-    # At most ``cap`` rows from here on.
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        first.withColumn("_room", F.lit(cap) - F.sum("_n").over(running) + F.col("_n"))
-        .filter("_room > 0")
-        .withColumn("_copy", F.explode(F.sequence(
-            F.lit(1), F.least("_n", "_room").cast("int")
-        )))
-        .select(*columns)
-    )
+    return kept.orderBy("_digest", *columns).limit(cap).select(*columns)
 
 
 def engagement_sample(
     posts: DataFrame,
     fraction: float = SAMPLE_FRACTION,
-    cap: int = SAMPLE_CAP,
+    cap: int | None = None,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """About one percent of the posts, at most ``cap`` rows, for scatter charts."""
+    """About one percent of the posts for scatter charts; at most ``cap`` rows if that is given.
+
+    Rows that agree in post id, date, user and all sampled columns are copies of each other.
+    """
     columns = [*SAMPLE_REQUIRED, *present(posts, SAMPLE_OPTIONAL), *extra]
-    drawn = posts.select(*columns, digest_of(posts).alias("_digest"))
-    if fraction < 1:
-        drawn = drawn.filter(F.col("_digest") < fraction_prefix(fraction))
-    return lowest_digests(drawn, cap)
+    rows = posts.select(*dict.fromkeys([*identity_of(posts), *columns]))
+    drawn = _each_copy(rows, F.col("_digest") < fraction_prefix(fraction) if fraction < 1 else None)
+    if cap is not None:
+        drawn = lowest_digests(drawn, cap)
+    return drawn.select(*columns)
 
 
-def explorer_sample(posts: DataFrame, cap: int = EXPLORER_CAP) -> DataFrame:
-    """At most ``cap`` whole rows for the row explorer."""
-    return lowest_digests(posts.withColumn("_digest", digest_of(posts)), cap)
+def explorer_sample(posts: DataFrame, cap: int) -> DataFrame:
+    """``cap`` whole rows, for a look at posts that are too many to page through."""
+    return lowest_digests(_each_copy(posts), cap)

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from postgrain import functions as fx
 from postgrain.operators import topk
@@ -22,7 +23,6 @@ SUMMED = {
     "likes": "likes", "comments": "comments", "engagement": "engagement",
     "followers": "followers", "rate": "engagement_rate",
 }
-FACET_CATEGORIES = 30
 
 
 def in_slice(df: DataFrame, selection: Selection, except_dim: str | None = None) -> Column:
@@ -105,14 +105,16 @@ def _covering_selections(cell: Column) -> Column:
 def slice_unique_users(posts: DataFrame) -> DataFrame:
     """Exact distinct users of every possible selection.
 
-    Distinct counts do not add up over cube rows. One shuffle by user brings each user's
-    set of cells together; cells are few and the sets are built in the map tasks, so a very
-    active user is as cheap as any other. Users with the same set count alike, so from then
+    Distinct counts do not add up over cube rows. Each user's cells are made distinct first, by a
+    hash aggregate in the map tasks, so a very active user is as cheap as any other; the sets are
+    built from these pairs alone. Users with the same set count alike, so from then
     on there are only the different sets, with their numbers of users: such a set adds its
     number to each selection that covers one of its cells.
     """
+    user = user_column(posts)
     sets = (
-        posts.groupBy(user_column(posts)).agg(F.collect_set(F.struct(*SLICE_DIMS)).alias("cells"))
+        posts.select(user, *SLICE_DIMS).distinct()
+        .groupBy(user).agg(F.collect_list(F.struct(*SLICE_DIMS)).alias("cells"))
         .select(F.sort_array("cells").alias("cells"))
         .groupBy("cells").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -168,17 +170,20 @@ def slice_top_users(
     return topk.top_users_by_engagement(select_slice(posts, selection), k)
 
 
-def facet_values(posts: DataFrame, categories: int = FACET_CATEGORIES) -> DataFrame:
-    """Filter choices ``(facet, choice)``: all type labels, the first categories by name."""
-    labels = posts.select(
-        F.lit("post_type_label").alias("facet"), F.col("post_type_label").alias("choice")
-    ).distinct()
-    names = (
-        posts.filter(F.col("description_category").isNotNull())
-        .select(
-            F.lit("description_category").alias("facet"),
-            F.col("description_category").alias("choice"),
-        )
-        .distinct().orderBy("choice").limit(categories)
+def facet_values(cube: DataFrame, categories: int | None = None) -> DataFrame:
+    """Filter choices ``(facet, choice)`` from the filter cube: all type labels, and all categories
+    or the first ``categories`` by name."""
+    both = F.array(*[
+        F.struct(F.lit(facet).alias("facet"), F.col(facet).alias("choice"))
+        for facet in ("post_type_label", "description_category")
+    ])
+    choices = (
+        cube.select(F.explode(both).alias("c")).select("c.*").distinct()
+        .filter((F.col("facet") == "post_type_label") | F.col("choice").isNotNull())
     )
-    return labels.unionByName(names).orderBy("facet", "choice")
+    if categories is not None:
+        by_name = Window.partitionBy("facet").orderBy("choice")
+        choices = choices.withColumn("n", F.row_number().over(by_name)).filter(
+            (F.col("facet") == "post_type_label") | (F.col("n") <= categories)
+        ).drop("n")
+    return choices.orderBy("facet", "choice")

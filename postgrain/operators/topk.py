@@ -12,9 +12,8 @@ TOP_USERS = 15
 TOP_CATEGORIES = 15
 TOP_ENGAGING_CATEGORIES = 12
 
-# Spark prunes a ranked window in the map tasks up to this many rows per group
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-PRUNED_RANK = 1000
+# Spark prunes a ranked window in the map tasks up to so many rows per group.
+PRUNED_RANK = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 
 
@@ -67,11 +66,11 @@ def top_per_group(
 ) -> DataFrame:
     """The first k rows of each group, numbered from 1.
 
-    Up to ``PRUNED_RANK`` Spark cuts every map task to k rows per group before the
+    Up to the session's threshold Spark cuts every map task to k rows per group before the
     shuffle. Beyond it each group is first ranked in ``SALTS`` parts, chosen by the
     hash of ``spread``, so that no task sorts a whole group.
     """
-    if k > PRUNED_RANK:
+    if k > int(df.sparkSession.conf.get(PRUNED_RANK)):
         part = F.pmod(F.xxhash64(spread), F.lit(SALTS))
         within = Window.partitionBy(*group, part).orderBy(*order)
         df = df.withColumn(rank, F.row_number().over(within)).filter(F.col(rank) <= k)

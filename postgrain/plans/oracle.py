@@ -158,21 +158,30 @@ BUSINESS = "is_business_account"
 STANDARD = "description_category = 'STANDARD'"
 
 # ---------------------------------------------------------------- samples
-DIGEST = "md5(concat_ws('|', CAST(sid AS VARCHAR), date, username))"
 SAMPLE_COLUMNS = [
     "followers", "likes", "comments", "engagement", "image_grade", "description_grade",
     "post_type_label", "post_type", "is_business_account", "description_category", "post_year",
 ]
+_FRACTIONS = _DOUBLES - {"post_year"}
+
+
+def _each_copy(columns: list[str]) -> str:
+    """A frame with the digest of each row and its number among equal rows."""
+    text = ", ".join(
+        f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)" if c in _FRACTIONS else f"CAST({c} AS VARCHAR)"
+        for c in columns
+    )
+    names = ", ".join(columns)
+    return f"""(SELECT *, md5(concat_ws('|', {text}, CAST(copy - 1 AS VARCHAR))) AS digest
+    FROM (SELECT {names}, row_number() OVER (PARTITION BY {names}) AS copy FROM posts))"""
+
+
 SAMPLE = POSTS + f""",
-sample AS (
-  SELECT {", ".join(SAMPLE_COLUMNS)} FROM posts WHERE {DIGEST} < '028f5c28'
-  ORDER BY {DIGEST}, {_ascending(SAMPLE_COLUMNS)} LIMIT 5000
-)"""
+sample AS (SELECT {", ".join(SAMPLE_COLUMNS)}
+  FROM {_each_copy(["sid", "date", "username", *SAMPLE_COLUMNS])} WHERE digest < '028f5c28')"""
 EXPLORER = POSTS + f""",
-sample AS (
-  SELECT {", ".join(CLEAN_COLUMNS)} FROM posts
-  ORDER BY {DIGEST}, {_ascending(CLEAN_COLUMNS)} LIMIT 10000
-)"""
+sample AS (SELECT {", ".join(CLEAN_COLUMNS)} FROM {_each_copy(CLEAN_COLUMNS)}
+  ORDER BY digest, {_ascending(CLEAN_COLUMNS)} LIMIT 10000)"""
 PAGE_COLUMNS = [
     "username", "shortcode", "post_type_label", "likes", "comments", "followers", "num_posts",
     "is_business_account", "description_category", "description_grade", "image_grade",
@@ -184,11 +193,11 @@ def _grade_bins(grade: str) -> str:
     edges = " + ".join(
         f"CAST(g > lo + {i}.0::DOUBLE * ((hi - lo) / 10) AS INT)" for i in range(1, 10)
     )
-    return f"""WITH {SAMPLE},
-graded AS (SELECT {grade} AS g, likes FROM sample WHERE {grade} IS NOT NULL AND likes >= 0),
-span AS (SELECT min(g) AS lo, max(g) AS hi, count(*) AS n FROM graded),
+    return f"""WITH {POSTS},
+graded AS (SELECT {grade} AS g, likes FROM posts WHERE {grade} IS NOT NULL AND likes >= 0),
+span AS (SELECT min(g) AS lo, max(g) AS hi FROM graded),
 placed AS (SELECT CASE WHEN hi > lo THEN 1 + {edges} ELSE 5 END AS bin, lo, hi, likes
-           FROM graded, span WHERE n >= 50)
+           FROM graded, span)
 SELECT CAST(bin AS INT) AS bin,
   round(CASE WHEN bin = 10 THEN hi ELSE lo + bin * ((hi - lo) / 10) END, 6) AS upper_edge,
   count(*) AS post_count, round(avg(likes), 6) AS mean_likes
@@ -218,23 +227,35 @@ def _hashes(name: str, source: str) -> str:
 
 def _positions(name: str, source: str) -> str:
     return f"""
-{name} AS (SELECT username, (h1 + i * h2) % m AS pos
+{name} AS (SELECT username, (h1 % m + i * (h2 % m)) % m AS pos
   FROM (SELECT username, h1, h2, m, unnest(range(0, k)) AS i FROM {source}, params))"""
 
 
 BITS = """
 bits AS (SELECT DISTINCT pos FROM user_positions)"""
-BLOOM = (
-    f"{USERS},{PARAMS},{_hashes('user_hashes', 'users')},"
-    f"{_positions('user_positions', 'user_hashes')},{BITS}"
-)
+
+
+def _wide_hashes(name: str, source: str) -> str:
+    return f"""
+{name} AS (SELECT username, CAST('0x' || substr(md5(username), 1, 15) AS BIGINT) AS h1,
+  greatest(1, CAST('0x' || substr(md5(username), 16, 15) AS BIGINT)) AS h2 FROM {source})"""
+
+
+def _bloom(hashes=_hashes) -> str:
+    return (
+        f"{USERS},{PARAMS},{hashes('user_hashes', 'users')},"
+        f"{_positions('user_positions', 'user_hashes')},{BITS}"
+    )
+
+
+BLOOM = _bloom()
 MUTATED = """
   substr(username, 1, CAST('0x' || substr(md5(username), 1, 4) AS INT) % length(username))
   || substr('abcdefghijklmnopqrstuvwxyz0123456789',
             CAST('0x' || substr(md5(username), 5, 4) AS INT) % 36 + 1, 1)
   || substr(username, CAST('0x' || substr(md5(username), 1, 4) AS INT) % length(username) + 2)"""
 PROBE_SET = f"""
-positive AS (SELECT username FROM users ORDER BY md5(username), username LIMIT 200),
+positive AS (SELECT username FROM users),
 far AS (SELECT 'not_a_real_user_' || CAST(i AS VARCHAR) AS username FROM range(1, 501) t(i)),
 near AS (SELECT DISTINCT {MUTATED} AS username
   FROM (SELECT username FROM users ORDER BY md5('near' || username), username LIMIT 300)),
@@ -249,19 +270,50 @@ probes AS (SELECT DISTINCT {NORMALIZED} AS username
   WHERE {NORMALIZED} <> '')"""
 
 
-def _looked_up(probes: str) -> str:
-    return f"""{_hashes('probe_hashes', f"(SELECT DISTINCT username FROM {probes})")},
+def _looked_up(probes: str, hashes=_hashes) -> str:
+    return f"""{hashes('probe_hashes', f"(SELECT DISTINCT username FROM {probes})")},
 {_positions('probe_positions', 'probe_hashes')},
 looked_up AS (SELECT username, bool_and(pos IN (SELECT pos FROM bits)) AS bloom_hit
   FROM probe_positions GROUP BY username)"""
 
 
+def _membership(hashes=_hashes) -> str:
+    return f"""WITH {_bloom(hashes)},{PROBES},{_looked_up('probes', hashes)}
+SELECT username, CASE WHEN bloom_hit THEN 'POSSIBLY PRESENT' ELSE 'DEFINITELY ABSENT' END
+  AS bloom_verdict FROM looked_up"""
+
+
+def _evaluation(version: str, hashes=_hashes) -> str:
+    return f"""WITH {_bloom(hashes)},{PROBE_SET},{_looked_up('probe_set', hashes)},
+tally AS (SELECT
+  count(*) FILTER (probe_group = 'positive') AS positive_queries,
+  count(*) FILTER (probe_group = 'positive' AND NOT bloom_hit) AS positive_false_negatives,
+  count(*) FILTER (probe_group = 'far_negative') AS negative_queries,
+  count(*) FILTER (probe_group = 'far_negative' AND bloom_hit) AS false_positives,
+  count(*) FILTER (probe_group = 'near_miss') AS near_queries,
+  count(*) FILTER (probe_group = 'near_miss' AND bloom_hit) AS near_false_positives
+  FROM probe_set JOIN looked_up USING (username))
+SELECT 'posts' AS data_source, n AS inserted_users, m AS bit_array_size, k AS hash_functions,
+  '{version}' AS hash_version, 0.01::DOUBLE AS false_positive_target,
+  round(pow(1 - exp(-k * n::DOUBLE / m), k), 6) AS theoretical_fpr, tally.*,
+  round(false_positives / negative_queries, 6) AS false_positive_rate,
+  round(near_false_positives / near_queries, 6) AS near_false_positive_rate
+FROM tally, params"""
+
+
 def _top(measures: str, by: str) -> str:
     return f"""WITH {POSTS}
 SELECT username, {measures}, count(*) AS post_count FROM posts GROUP BY username
 ORDER BY {by} DESC NULLS LAST, username LIMIT 15"""
 
 
+def _slice_top_users(where: str) -> str:
+    return f"""WITH {POSTS}
+SELECT username, sum(engagement) AS total_engagement, round(avg(engagement), 6) AS avg_engagement,
+  count(*) AS post_count FROM posts WHERE {where}
+GROUP BY username ORDER BY sum(engagement) DESC, username LIMIT 15"""
+
+
 def _legacy_by(key: str) -> str:
     return f"""WITH {LEGACY}
 SELECT {key}, count(engagement) AS posts_count, round(avg(engagement), 6) AS average_engagement,
@@ -277,8 +329,8 @@ ORACLE_SQL: dict[str, str] = {
     "posts_scan": f"WITH {POSTS_RAW} SELECT * FROM posts_raw",
     "legacy_csv_scan": f"WITH {LEGACY_RAW} SELECT * FROM legacy_raw",
     "profile_overview": f"""WITH {POSTS_RAW}
-SELECT count(*) AS row_count, 18 AS column_count, count(DISTINCT username) AS distinct_usernames
-FROM posts_raw""",
+SELECT count(*) AS row_count, 18 AS column_count,
+  (SELECT count(*) FROM (SELECT DISTINCT username FROM posts_raw)) AS distinct_usernames FROM posts_raw""",
     "profile_nulls": f"""WITH {POSTS_RAW}
 SELECT count(*) - count(username) AS null_username, count(*) - count(likes) AS null_likes,
   count(*) - count(comments) AS null_comments, count(*) - count(followers) AS null_followers
@@ -293,9 +345,29 @@ survivors AS (SELECT sid, {TIMESTAMP} AS ts FROM usable QUALIFY {SURVIVOR} = 1)
 SELECT (SELECT count(*) FROM posts_raw) AS rows_before,
   (SELECT count(*) FROM posts_raw) - (SELECT count(*) FROM usable) AS unusable_users_removed,
   (SELECT count(*) FROM usable) - count(*) AS duplicate_sids_removed,
-  count(*) AS rows_after, count(DISTINCT sid) AS distinct_sids,
+  count(*) AS rows_after, count(DISTINCT sid) AS distinct_sids, 0 AS rows_without_id,
   count(*) - count(ts) AS null_dates, 29 AS column_count
 FROM survivors""",
+    "legacy_profile_overview": f"""WITH {LEGACY_RAW}
+SELECT count(*) AS row_count, 7 AS column_count,
+  (SELECT count(*) FROM (SELECT DISTINCT user_posted FROM legacy_raw)) AS distinct_usernames FROM legacy_raw""",
+    "legacy_profile_nulls": f"""WITH {LEGACY_RAW}
+SELECT count(*) - count(user_posted) AS null_user_posted, count(*) - count(likes) AS null_likes,
+  count(*) - count(num_comments) AS null_num_comments FROM legacy_raw""",
+    "legacy_quality_summary": f"""WITH {LEGACY}
+SELECT count(*) AS total_posts, count(*) - count(user_posted) AS null_username,
+  count(*) - count(likes) AS null_likes, count(*) - count(num_comments) AS null_comments,
+  count(*) - count(post_date) AS null_post_date FROM legacy""",
+    "legacy_clean_stats": f"""WITH {LEGACY}
+SELECT (SELECT 2 * count(*) FROM legacy_raw) AS rows_before,
+  (SELECT 2 * count(*) FROM legacy_raw) - 2 * count(*) AS unusable_users_removed,
+  count(*) AS duplicate_sids_removed, count(*) AS rows_after, count(DISTINCT post_id) AS distinct_sids,
+  0 AS rows_without_id, count(*) - count(post_date) AS null_dates, 13 AS column_count FROM legacy""",
+    "legacy_top_users": f"""WITH {LEGACY}
+SELECT user_posted AS username, round(sum(engagement), 6) AS total_engagement,
+  round(avg(engagement), 6) AS avg_engagement, count(*) AS post_count FROM legacy
+GROUP BY user_posted ORDER BY sum(engagement) DESC NULLS LAST, user_posted LIMIT 15""",
+    "posts_stored_by_year": f"WITH {POSTS} SELECT {_shown(CLEAN_COLUMNS)} FROM posts",
     "normalize_username": f"""WITH {POSTS_RAW}
 SELECT username AS raw_username, count(*) AS post_count, {NORMALIZED} AS username
 FROM posts_raw GROUP BY posts_raw.username""",
@@ -324,6 +396,16 @@ SELECT {_shown(CLEAN_COLUMNS)} FROM posts""",
 SELECT *  REPLACE (CAST(post_date AS VARCHAR) AS post_date), engagement AS engagement_total,
   year(post_date) AS post_year, month(post_date) AS post_month,
   dayofweek(post_date) + 1 AS day_of_week FROM legacy""",
+    "legacy_clean_csv_stored": f"""WITH {LEGACY}
+SELECT *  REPLACE (CAST(post_date AS VARCHAR) AS post_date), engagement AS engagement_total,
+  year(post_date) AS post_year, month(post_date) AS post_month,
+  dayofweek(post_date) + 1 AS day_of_week FROM legacy""",
+    "result_stored": f"""WITH {POSTS}
+SELECT description_category, count(*) AS post_count, {CONTENT}
+FROM posts GROUP BY description_category""",
+    "approximate_medians": f"""WITH {POSTS}
+SELECT count(likes) AS n_likes, true AS likes_within, count(comments) AS n_comments,
+  true AS comments_within FROM posts""",
     "overall_summary": f"""WITH {POSTS}
 SELECT count(*) AS total_posts, count(DISTINCT username) AS unique_users, {ACCOUNT},
   count(*) FILTER (is_business_account) AS business_post_count,
@@ -340,6 +422,9 @@ SELECT is_business_account, count(*) AS post_count, {ACCOUNT}
 FROM posts GROUP BY is_business_account""",
     "temporal_year": _calendar("post_year", "year", "engagement", "likes"),
     "temporal_month": _calendar("post_month", "month", "engagement"),
+    "temporal_month_axis": f"""WITH {POSTS}
+SELECT CAST(m AS INT) AS month, count(sid) AS post_count, {_avg("engagement")}
+FROM range(1, 13) t(m) LEFT JOIN posts ON post_month = m GROUP BY m""",
     "temporal_weekday": _calendar("day_of_week", "weekday", "engagement"),
     "language_analysis": f"WITH {POSTS} SELECT lang, count(*) AS post_count FROM posts GROUP BY lang",
     "legacy_content_analysis": _legacy_by("content_type"),
@@ -372,28 +457,15 @@ SELECT username, h1, h2 FROM user_hashes""",
     "bloom_build": f"""WITH {BLOOM}
 SELECT pos // 64 AS word, bit_or(CASE WHEN pos % 64 = 63 THEN (-9223372036854775808)::BIGINT
   ELSE 1::BIGINT << CAST(pos % 64 AS INT) END) AS bits FROM bits GROUP BY 1""",
-    "bloom_membership": f"""WITH {BLOOM},{PROBES},{_looked_up('probes')}
-SELECT username, CASE WHEN bloom_hit THEN 'POSSIBLY PRESENT' ELSE 'DEFINITELY ABSENT' END
-  AS bloom_verdict FROM looked_up""",
+    "bloom_membership": _membership(),
+    "bloom_membership_wide": _membership(_wide_hashes),
+    "bloom_stored": _membership(),
     "exact_membership": f"""WITH {USERS},{PROBES}
 SELECT username, CASE WHEN username IN (SELECT username FROM users) THEN 'PRESENT' ELSE 'ABSENT' END
   AS exact_verdict FROM probes""",
     "bloom_probe_set": f"WITH {USERS},{PROBE_SET} SELECT username, probe_group FROM probe_set",
-    "bloom_evaluation": f"""WITH {BLOOM},{PROBE_SET},{_looked_up('probe_set')},
-tally AS (SELECT
-  count(*) FILTER (probe_group = 'positive') AS positive_queries,
-  count(*) FILTER (probe_group = 'positive' AND NOT bloom_hit) AS positive_false_negatives,
-  count(*) FILTER (probe_group = 'far_negative') AS negative_queries,
-  count(*) FILTER (probe_group = 'far_negative' AND bloom_hit) AS false_positives,
-  count(*) FILTER (probe_group = 'near_miss') AS near_queries,
-  count(*) FILTER (probe_group = 'near_miss' AND bloom_hit) AS near_false_positives
-  FROM probe_set JOIN looked_up USING (username))
-SELECT n AS inserted_users, m AS bit_array_size, k AS hash_functions,
-  'doublehash-1' AS hash_version, 0.01::DOUBLE AS false_positive_target,
-  round(pow(1 - exp(-k * n::DOUBLE / m), k), 6) AS theoretical_fpr, tally.*,
-  round(false_positives / negative_queries, 6) AS false_positive_rate,
-  round(near_false_positives / near_queries, 6) AS near_false_positive_rate
-FROM tally, params""",
+    "bloom_evaluation": _evaluation("doublehash-1"),
+    "bloom_evaluation_wide": _evaluation("doublehash-2", _wide_hashes),
     "chart_posts_by_type": f"""WITH {POSTS}
 SELECT post_type_label, count(*) AS post_count FROM posts GROUP BY post_type_label""",
     "chart_top_categories": f"""WITH {POSTS}
@@ -442,14 +514,27 @@ SELECT username, sum(engagement) AS total_engagement, round(avg(engagement), 6)
 GROUP BY username ORDER BY sum(engagement) DESC, username LIMIT 15""",
     "facet_values": f"""WITH {POSTS}
 SELECT DISTINCT 'post_type_label' AS facet, post_type_label AS choice FROM posts
-UNION ALL SELECT * FROM (SELECT DISTINCT 'description_category', description_category FROM posts
-  WHERE description_category IS NOT NULL ORDER BY description_category LIMIT 30)""",
-    "explorer_page": f"""WITH {EXPLORER}
-SELECT {_shown(PAGE_COLUMNS)} FROM (SELECT * FROM sample WHERE {TYPE_1} AND {BUSINESS} AND {STANDARD}
+UNION ALL SELECT DISTINCT 'description_category', description_category FROM posts
+WHERE description_category IS NOT NULL""",
+    "slice_kpis_all": f"WITH {POSTS} SELECT count(*) AS post_count, {KPIS} FROM posts",
+    "slice_kpis_one_filter": f"""WITH {POSTS}
+SELECT count(*) AS post_count, {KPIS} FROM posts WHERE NOT {BUSINESS}""",
+    "slice_posts_by_category_one_filter": f"""WITH {POSTS}
+SELECT description_category, count(*) AS post_count FROM posts
+WHERE NOT {BUSINESS} AND description_category IS NOT NULL GROUP BY description_category
+ORDER BY post_count DESC, description_category LIMIT 15""",
+    "slice_top_users_all": _slice_top_users("true"),
+    "slice_top_users_one_filter": _slice_top_users(f"NOT {BUSINESS}"),
+    "explorer_page": f"""WITH {POSTS}
+SELECT {_shown(PAGE_COLUMNS)} FROM (SELECT * FROM posts WHERE {TYPE_1} AND {BUSINESS} AND {STANDARD}
   ORDER BY sid, {_ascending(PAGE_COLUMNS)} LIMIT 100 OFFSET 100)""",
-    "explorer_match_count": f"""WITH {EXPLORER}
+    "explorer_search": f"""WITH {POSTS}
+SELECT {_shown(PAGE_COLUMNS)} FROM (SELECT * FROM posts
+  WHERE contains(username, 'customer#00000000') AND contains(date, '1996')
+  ORDER BY sid, {_ascending(PAGE_COLUMNS)} LIMIT 100)""",
+    "explorer_match_count": f"""WITH {POSTS}
 SELECT count(*) FILTER ({TYPE_1} AND {BUSINESS} AND {STANDARD}) AS matching_rows,
-  count(*) AS sample_rows FROM sample""",
-    "explorer_by_type": f"""WITH {EXPLORER}
-SELECT post_type_label, count(*) AS posts FROM sample WHERE {BUSINESS} GROUP BY post_type_label""",
+  count(*) AS all_rows FROM posts""",
+    "explorer_by_type": f"""WITH {POSTS}
+SELECT post_type_label, count(*) AS posts FROM posts WHERE {BUSINESS} GROUP BY post_type_label""",
 }

@@ -1,13 +1,12 @@
 """Every operator as a named query over the test tables.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over whole tables.
-Doubles are rounded and dates printed, so that results compare by value.
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over whole tables. All queries over posts
+share one posts table. Doubles are rounded and dates printed, so that results compare by value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +16,22 @@ from postgrain import functions as fx
 from postgrain.operators import (
     bloom, charts, cleaning, explorer, profile, rollups, sampling, slices, topk,
 )
+from postgrain.plans.standin import legacy_raw, posts_raw, table
 from postgrain.sources import readers, sinks
-from postgrain.sources.standin import legacy_raw, posts_raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The selection that the slice queries report on.
+# The selections that the slice queries report on.
 SELECTION = {
     "post_type_label": "Post Type 1",
     "is_business_account": True,
     "description_category": "STANDARD",
 }
+ONE_FILTER = {"is_business_account": False}
 PAGE, PAGE_SIZE = 1, 100
+SEARCH = {"username": "customer#00000000", "date": "1996"}
+EXPLORER_ROWS = 10_000
+APPROXIMATE = 10_000
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -44,64 +47,80 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-@lru_cache(maxsize=16)
-def _raw(spark: SparkSession, sf_dir: str, part: bool, authors: bool = True) -> DataFrame:
-    """The source posts, set up once per session as a user of the library would."""
-    return posts_raw(spark, sf_dir, part, authors)
+def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_posts(posts_raw(spark, sf_dir))
 
 
-@lru_cache(maxsize=16)
-def _posts(spark: SparkSession, sf_dir: str, part: bool) -> DataFrame:
-    return cleaning.clean_posts(_raw(spark, sf_dir, part))
+def _over_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: comparable(build(posts_raw(spark, sf_dir)))
 
 
-def _over_raw(build: Callable[[DataFrame], DataFrame], part: bool = False) -> Query:
-    return lambda spark, sf_dir: comparable(build(_raw(spark, sf_dir, part)))
-
-
-def _over_items(build: Callable[[DataFrame], DataFrame]) -> Query:
-    """For what needs neither author nor part columns."""
-    return lambda spark, sf_dir: comparable(build(_raw(spark, sf_dir, False, authors=False)))
-
-
-def _over_posts(build: Callable[[DataFrame], DataFrame], part: bool = False) -> Query:
-    return lambda spark, sf_dir: comparable(build(_posts(spark, sf_dir, part)))
+def _over_posts(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: comparable(build(_posts(spark, sf_dir)))
 
 
 def _over_legacy(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(build(legacy_raw(spark, sf_dir)))
 
 
+def _over_canonical(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """Over cleaned legacy posts under the primary names."""
+    return _over_legacy(lambda raw: build(cleaning.to_canonical(cleaning.clean_legacy(raw))))
+
+
 def _over_cube(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _over_posts(lambda posts: build(slices.filter_cube(posts)), part=True)
+    return _over_posts(lambda posts: build(slices.filter_cube(posts)))
 
 
 def _over_sample(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _over_posts(lambda posts: build(sampling.engagement_sample(posts)), part=True)
+    return _over_posts(lambda posts: build(sampling.engagement_sample(posts)))
 
 
-def _over_explorer(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _over_posts(lambda posts: build(sampling.explorer_sample(posts)), part=True)
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = legacy_raw(spark, sf_dir)
+    path = sinks.shared_folder(spark, "legacy-csv")
+    sinks.write_csv(raw, path)
+    return readers.read_legacy_csv(spark, path, schema=raw.schema)
 
 
-def _overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All columns are counted, but only those of the posts' authors are joined and read."""
-    width = len(_raw(spark, sf_dir, True).columns)
-    counted = profile.overview(_raw(spark, sf_dir, False))
-    return counted.withColumn("column_count", F.lit(width))
+def _parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = _posts(spark, sf_dir)
+    path = sinks.shared_folder(spark, "posts-by-year")
+    sinks.save_clean_posts(clean, path)
+    return comparable(readers.read_posts(spark, path).select(*clean.columns))
 
 
-def _clean_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    width = len(_posts(spark, sf_dir, True).columns)
-    counted = cleaning.clean_stats(_raw(spark, sf_dir, False))
-    return counted.withColumn("column_count", F.lit(width))
+def _clean_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = cleaning.clean_legacy(legacy_raw(spark, sf_dir))
+    path = sinks.shared_folder(spark, "legacy-clean-csv")
+    sinks.write_csv(clean, path)
+    return comparable(readers.read_clean_csv(spark, path, clean.schema))
 
 
-def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = legacy_raw(spark, sf_dir)
-    path = sinks.shared_folder(spark, "legacy-csv")
-    sinks.write_csv(raw, path)
-    return readers.read_legacy_csv(spark, path, schema=raw.schema)
+def _result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = rollups.category_analysis(_posts(spark, sf_dir))
+    path = sinks.shared_folder(spark, "results")
+    sinks.save_result(result, path, "category_analysis")
+    return comparable(readers.read_result(spark, f"{path}/category_analysis", result.schema))
+
+
+def _bloom_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.shared_folder(spark, "bloom")
+    sinks.save_bloom(_bloom_users(spark, sf_dir), path, bloom.bloom_params, bloom.bloom_words)
+    _, params, words = sinks.load_bloom(spark, path, bloom.HASH_VERSION)
+    return bloom.bloom_membership(_probes(spark, sf_dir), words, params)
+
+
+def _approximate_medians(posts: DataFrame) -> DataFrame:
+    """How many posts lie below each approximate median and up to it, and whether its rank errs by no more than it may."""
+    middle = rollups.medians(posts, accuracy=APPROXIMATE)
+    ranks = []
+    for c in ("likes", "comments"):
+        value = middle.select(f"median_{c}").scalar()
+        n, below, upto = F.count(c), F.count_if(F.col(c) < value), F.count_if(F.col(c) <= value)
+        slack = n / APPROXIMATE + 1
+        ranks += [n.alias(f"n_{c}"), ((below <= n / 2 + slack) & (upto >= n / 2 - slack)).alias(f"{c}_within")]
+    return posts.agg(*ranks)
 
 
 def _doubled_legacy(raw: DataFrame) -> DataFrame:
@@ -135,13 +154,15 @@ def _type_labels(raw: DataFrame) -> DataFrame:
 
 
 def _bloom_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bloom.distinct_users(_raw(spark, sf_dir, False))
+    return bloom.distinct_users(posts_raw(spark, sf_dir))
 
 
-def _bloom_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _bloom_tables(
+    spark: SparkSession, sf_dir: str, version: str = bloom.HASH_VERSION
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     users = _bloom_users(spark, sf_dir)
-    params = bloom.bloom_params(users)
-    return users, params, bloom.bloom_words(users, params)
+    params = bloom.bloom_params(users, version=version)
+    return users, params, bloom.bloom_words(users, params, version)
 
 
 def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,48 +172,62 @@ def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom.distinct_probes(customers.unionByName(suppliers), "probe")
 
 
-def _bloom_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, params, words = _bloom_tables(spark, sf_dir)
-    return bloom.bloom_membership(_probes(spark, sf_dir), words, params)
+def _bloom_membership(version: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, params, words = _bloom_tables(spark, sf_dir, version)
+        return bloom.bloom_membership(_probes(spark, sf_dir), words, params, version)
+    return query
 
 
 def _exact_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom.exact_membership(_probes(spark, sf_dir), _bloom_users(spark, sf_dir))
 
 
-def _bloom_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users, params, words = _bloom_tables(spark, sf_dir)
-    return comparable(
-        bloom.bloom_evaluation(users, params, words, bloom.bloom_probe_set(users))
-    )
+def _bloom_evaluation(version: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        users, params, words = _bloom_tables(spark, sf_dir, version)
+        probes = bloom.bloom_probe_set(users)
+        return comparable(bloom.bloom_evaluation(params, words, probes, "posts", version))
+    return query
 
 
 QUERIES: dict[str, Query] = {
     # Scans
-    "posts_scan": _over_raw(lambda raw: raw, part=True),
+    "posts_scan": _over_raw(lambda raw: raw),
     "legacy_csv_scan": _csv_round_trip,
     # Profiles
-    "profile_overview": _overview,
+    "profile_overview": _over_raw(profile.overview),
     "profile_nulls": _over_raw(profile.source_nulls),
     "quality_summary": _over_posts(profile.quality_summary),
-    "clean_stats": _clean_stats,
+    "clean_stats": _over_raw(cleaning.clean_stats),
+    "legacy_profile_overview": _over_legacy(profile.overview),
+    "legacy_profile_nulls": _over_legacy(profile.source_nulls),
+    "legacy_quality_summary": _over_canonical(profile.quality_summary),
+    "legacy_clean_stats": _over_legacy(lambda raw: cleaning.clean_stats(_doubled_legacy(raw))),
+    "legacy_top_users": _over_canonical(topk.top_users_by_engagement),
+    # Storage round trips
+    "posts_stored_by_year": _parquet_round_trip,
+    "legacy_clean_csv_stored": _clean_csv_round_trip,
+    "result_stored": _result_round_trip,
     # Cleaning
     "normalize_username": _over_raw(_username_forms),
-    "temporal_parts": _over_items(_temporal_parts),
+    "temporal_parts": _over_raw(_temporal_parts),
     "engagement": _over_raw(_engagement),
-    "post_type_label": _over_items(_type_labels),
-    "dedup_sid": _over_raw(cleaning.dedup_posts, part=True),
-    "posts_clean": _over_raw(lambda raw: cleaning.clean_posts(raw, dedup=True), part=True),
+    "post_type_label": _over_raw(_type_labels),
+    "dedup_sid": _over_raw(cleaning.dedup_posts),
+    "posts_clean": _over_raw(lambda raw: cleaning.clean_posts(raw, dedup=True)),
     "dedup_post_id": _over_legacy(lambda raw: cleaning.keep_first(_doubled_legacy(raw), "post_id")),
     "legacy_clean": _over_legacy(cleaning.clean_legacy),
     # Roll-ups
     "overall_summary": _over_posts(lambda p: rollups.overall_summary(p, exact_medians=True)),
+    "approximate_medians": _over_posts(_approximate_medians),
     "overall_medians": _over_posts(lambda p: rollups.medians(p, exact=True)),
     "content_analysis": _over_posts(rollups.content_analysis),
-    "category_analysis": _over_posts(rollups.category_analysis, part=True),
+    "category_analysis": _over_posts(rollups.category_analysis),
     "business_analysis": _over_posts(rollups.business_analysis),
     "temporal_year": _over_posts(rollups.temporal_year),
     "temporal_month": _over_posts(rollups.temporal_month),
+    "temporal_month_axis": _over_posts(lambda p: rollups.temporal_month(p, fill=True)),
     "temporal_weekday": _over_posts(rollups.temporal_weekday),
     "language_analysis": _over_posts(rollups.language_analysis),
     "legacy_content_analysis": _over_legacy(
@@ -201,48 +236,51 @@ QUERIES: dict[str, Query] = {
     "legacy_location_analysis": _over_legacy(
         lambda raw: rollups.legacy_location_analysis(cleaning.clean_legacy(raw))
     ),
-    "filter_cube": _over_posts(slices.filter_cube, part=True),
+    "filter_cube": _over_posts(slices.filter_cube),
     # Top-k
     "top_users_by_posts": _over_posts(topk.top_users_by_posts),
     "top_users_by_followers": _over_posts(topk.top_users_by_followers),
     "top_users_by_likes": _over_posts(topk.top_users_by_likes),
     "top_users_by_engagement": _over_posts(topk.top_users_by_engagement),
-    "top_users_cube": _over_posts(topk.top_users_cube, part=True),
+    "top_users_cube": _over_posts(topk.top_users_cube),
     # Samples
     "engagement_sample": _over_sample(lambda sample: sample),
-    "explorer_sample": _over_explorer(lambda sample: sample),
+    "explorer_sample": _over_posts(lambda p: sampling.explorer_sample(p, EXPLORER_ROWS)),
     # Bloom filter
     "bloom_users": _bloom_users,
     "bloom_params": lambda spark, sf: comparable(bloom.bloom_params(_bloom_users(spark, sf))),
     "bloom_hashes": lambda spark, sf: bloom.hashes(_bloom_users(spark, sf)),
     "bloom_build": lambda spark, sf: _bloom_tables(spark, sf)[2],
-    "bloom_membership": _bloom_membership,
+    "bloom_membership": _bloom_membership(bloom.HASH_VERSION),
+    "bloom_membership_wide": _bloom_membership(bloom.WIDE_HASH_VERSION),
     "exact_membership": _exact_membership,
     "bloom_probe_set": lambda spark, sf: bloom.bloom_probe_set(_bloom_users(spark, sf)),
-    "bloom_evaluation": _bloom_evaluation,
+    "bloom_evaluation": _bloom_evaluation(bloom.HASH_VERSION),
+    "bloom_evaluation_wide": _bloom_evaluation(bloom.WIDE_HASH_VERSION),
+    "bloom_stored": _bloom_round_trip,
     # Chart data
     "chart_posts_by_type": _over_posts(
         lambda p: charts.posts_by_type(rollups.content_analysis(p))
     ),
     "chart_top_categories": _over_posts(
-        lambda p: topk.top_categories(rollups.category_analysis(p)), part=True
+        lambda p: topk.top_categories(rollups.category_analysis(p))
     ),
     "chart_category_engagement": _over_posts(
-        lambda p: topk.most_engaging_categories(rollups.category_analysis(p)), part=True
+        lambda p: topk.most_engaging_categories(rollups.category_analysis(p))
     ),
     "chart_business_engagement": _over_posts(
         lambda p: charts.business_engagement(rollups.business_analysis(p))
     ),
     "chart_followers_likes": _over_sample(charts.followers_vs_likes),
     "chart_followers_engagement": _over_sample(charts.followers_vs_engagement),
-    "chart_image_grade_bins": _over_sample(lambda s: charts.grade_bins(s, "image_grade")),
-    "chart_description_grade_bins": _over_sample(
-        lambda s: charts.grade_bins(s, "description_grade")
+    "chart_image_grade_bins": _over_posts(lambda p: charts.grade_bins(p, "image_grade")),
+    "chart_description_grade_bins": _over_posts(
+        lambda p: charts.grade_bins(p, "description_grade")
     ),
     # Slices
     "slice_kpis": _over_cube(lambda cube: slices.slice_kpis(cube, SELECTION)),
     "slice_kpis_cube": _over_cube(slices.slice_kpis_cube),
-    "slice_unique_users": _over_posts(slices.slice_unique_users, part=True),
+    "slice_unique_users": _over_posts(slices.slice_unique_users),
     "slice_posts_by_type": _over_cube(lambda c: slices.slice_posts_by_type(c, SELECTION)),
     "slice_posts_by_category": _over_cube(lambda c: slices.slice_posts_by_category(c, SELECTION)),
     "slice_engagement_by_category": _over_cube(
@@ -251,16 +289,24 @@ QUERIES: dict[str, Query] = {
     "slice_engagement_by_business": _over_cube(
         lambda c: slices.slice_engagement_by_business(c, SELECTION)
     ),
-    "slice_top_users": _over_posts(lambda p: slices.slice_top_users(p, SELECTION), part=True),
-    "facet_values": _over_posts(slices.facet_values, part=True),
+    "slice_top_users": _over_posts(lambda p: slices.slice_top_users(p, SELECTION)),
+    "facet_values": _over_cube(slices.facet_values),
+    "slice_kpis_all": _over_cube(lambda cube: slices.slice_kpis(cube, {})),
+    "slice_kpis_one_filter": _over_cube(lambda cube: slices.slice_kpis(cube, ONE_FILTER)),
+    "slice_posts_by_category_one_filter": _over_cube(
+        lambda c: slices.slice_posts_by_category(c, ONE_FILTER)
+    ),
+    "slice_top_users_all": _over_posts(lambda p: slices.slice_top_users(p, {})),
+    "slice_top_users_one_filter": _over_posts(lambda p: slices.slice_top_users(p, ONE_FILTER)),
     # Explorer
-    "explorer_page": _over_explorer(
-        lambda s: explorer.explorer_page(s, SELECTION, page=PAGE, size=PAGE_SIZE)
+    "explorer_page": _over_posts(
+        lambda p: explorer.explorer_page(p, SELECTION, page=PAGE, size=PAGE_SIZE)
+    ),
+    "explorer_search": _over_posts(
+        lambda p: explorer.explorer_page(p, {}, SEARCH, page=0, size=PAGE_SIZE)
     ),
-    "explorer_match_count": _over_explorer(
-        lambda s: explorer.explorer_match_count(s, SELECTION)
+    "explorer_match_count": _over_posts(lambda p: explorer.explorer_match_count(p, SELECTION)),
+    "explorer_by_type": _over_posts(
+        lambda p: explorer.explorer_by_type(p, {"is_business_account": True})
     ),
-    "explorer_by_type": _over_explorer(lambda s: explorer.explorer_by_type(
-        s, {"is_business_account": True}
-    )),
 }

@@ -3,7 +3,7 @@
     python -m postgrain.plans.report POSTS.parquet LEGACY.csv OUT_DIR
 
 Cleaned posts are written as Parquet and read back, so no result repeats the cleaning and
-a lost executor costs at most the current result. Result tables are small; the posts, the
+a lost executor costs at most the current result. The posts, the
 user names and the Bloom filter stay distributed throughout.
 """
 
@@ -49,7 +49,16 @@ RESULTS: dict[str, tuple[list[str], Build]] = {
     "engagement_sample": (
         ["followers", "likes", "comments", "engagement"], sampling.engagement_sample
     ),
-    "explorer_sample": ([], sampling.explorer_sample),
+    "facet_values": (
+        ["post_type", *SLICE_DIMS, "engagement"],
+        lambda posts: slices.facet_values(slices.filter_cube(posts)),
+    ),
+    "chart_image_grade_bins": (
+        ["image_grade", "likes"], lambda posts: charts.grade_bins(posts, "image_grade")
+    ),
+    "chart_description_grade_bins": (
+        ["description_grade", "likes"], lambda posts: charts.grade_bins(posts, "description_grade")
+    ),
 }
 
 # Chart table -> (stored result it is drawn from, how to build it).
@@ -61,12 +70,6 @@ CHARTS: dict[str, tuple[str, Build]] = {
     "chart_business_engagement": ("business_analysis", charts.business_engagement),
     "chart_followers_likes": ("engagement_sample", charts.followers_vs_likes),
     "chart_followers_engagement": ("engagement_sample", charts.followers_vs_engagement),
-    "chart_image_grade_bins": (
-        "engagement_sample", lambda s: charts.grade_bins(s, "image_grade")
-    ),
-    "chart_description_grade_bins": (
-        "engagement_sample", lambda s: charts.grade_bins(s, "description_grade")
-    ),
 }
 
 
@@ -99,19 +102,18 @@ def store_results(posts: DataFrame, out_dir: str) -> dict[str, int]:
     return rows
 
 
-def store_bloom(posts: DataFrame, out_dir: str) -> dict[str, int]:
-    """Build and store the Bloom tables, then evaluate the stored filter.
-
-    Each table is built from the stored one before it: the posts are read once.
-    """
+def store_bloom(
+    posts: DataFrame, out_dir: str, kind: str, version: str = bloom.HASH_VERSION
+) -> dict[str, int]:
+    """Build and store the Bloom tables, then evaluate the stored filter."""
     spark, path = posts.sparkSession, f"{out_dir}/bloom"
-    users = sinks.stored(
-        bloom.distinct_users(posts, user_column(posts)), f"{path}/bloom_users"
+    sinks.save_bloom(
+        bloom.distinct_users(posts, user_column(posts)), path,
+        lambda users: bloom.bloom_params(users, version=version),
+        lambda users, params: bloom.bloom_words(users, params, version),
     )
-    params = sinks.stored(bloom.bloom_params(users), f"{path}/bloom_params")
-    sinks.stored(bloom.bloom_words(users, params), f"{path}/bloom_words")
-    users, params, words = sinks.load_bloom(spark, path, bloom.HASH_VERSION)
-    outcome = bloom.bloom_evaluation(users, params, words, bloom.bloom_probe_set(users))
+    users, params, words = sinks.load_bloom(spark, path, version)
+    outcome = bloom.bloom_evaluation(params, words, bloom.bloom_probe_set(users), kind, version)
     name = "bloom_filter_results"
     rows = {name: sinks.save_result(outcome, out_dir, name)}
     result = readers.read_result(spark, f"{out_dir}/{name}", outcome.schema)
@@ -122,16 +124,13 @@ def store_bloom(posts: DataFrame, out_dir: str) -> dict[str, int]:
 
 def run_report(kind: str, raw: DataFrame, out_dir: str) -> dict[str, int]:
     """Clean, store, report. ``kind`` is "primary" or "fallback", as from ``open_posts``."""
-    if kind == "primary":
-        rows = {"clean_stats": sinks.save_result(
-            cleaning.clean_stats(raw), f"{out_dir}/results", "clean_stats"
-        )}
-    else:
-        rows = {}
+    rows = {"clean_stats": sinks.save_result(
+        cleaning.clean_stats(raw), f"{out_dir}/results", "clean_stats"
+    )}
     posts = store_clean(kind, raw, out_dir)
     readers.register_views(posts, "posts")
     return rows | store_results(posts, f"{out_dir}/results") | store_bloom(
-        posts, f"{out_dir}/results"
+        posts, f"{out_dir}/results", kind
     )
 
 

@@ -7,14 +7,11 @@ parse, missing metrics, repeated ids.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-@lru_cache(maxsize=64)
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An opened table; opening reads file footers, so it is done once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -80,31 +77,21 @@ POST_COLUMNS = [
 ]
 
 
-def posts_raw(
-    spark: SparkSession, sf_dir: str, part: bool = True, authors: bool = True
-) -> DataFrame:
+def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per line item, with its order's customer as author.
 
-    The dimension tables hold each key once, so the left joins neither add nor drop rows.
-    That lets ``part=False`` and ``authors=False`` leave a join and its columns out, which
-    Spark cannot do by itself, not knowing the keys to be unique. Orders and customers are
-    joined first, while there are only orders. Line items and orders grow together, so the
+    The dimension tables hold each key once, so the left joins neither add nor drop rows. Orders and
+    customers are joined first, while there are only orders. Line items and orders grow together, so the
     hint has Spark shuffle both by order instead of broadcasting either.
     """
-    posts, columns = table(spark, sf_dir, "lineitem"), _item_columns()
-    if authors:
-        by_order = table(spark, sf_dir, "orders").join(
-            table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left"
-        )
-        posts = posts.hint("merge").join(
-            by_order, F.col("l_orderkey") == F.col("o_orderkey"), "left"
-        )
-        columns |= _account_columns()
-    if part:
-        parts = table(spark, sf_dir, "part")
-        posts = posts.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        columns |= _part_columns()
-    return posts.select(*[columns[c].alias(c) for c in POST_COLUMNS if c in columns])
+    by_order = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left"
+    )
+    posts = table(spark, sf_dir, "lineitem").hint("merge").join(
+        by_order, F.col("l_orderkey") == F.col("o_orderkey"), "left"
+    ).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    columns = _item_columns() | _account_columns() | _part_columns()
+    return posts.select(*[columns[c].alias(c) for c in POST_COLUMNS])
 
 
 def legacy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import logging
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +51,14 @@ def save_clean_posts(df: DataFrame, path: str) -> None:
 
 
 def save_result(df: DataFrame, out_dir: str, name: str) -> int:
-    """Write one small result table as a single CSV file and return its row count.
+    """Write a result table as CSV and return its row count.
 
-    ``repartition(1)`` moves only the finished rows into one task; the stages before
-    it stay parallel, which ``coalesce(1)`` would not guarantee.
+    The table keeps its partitions: an ordered one is written as files that follow each other in
+    order, by name. Adaptive execution merges the partitions of a small table into one file.
     """
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     started = time.monotonic()
-    counted = df.repartition(1).observe(seen, F.count(F.lit(1)).alias("n"))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
     write_csv(counted, f"{out_dir}/{name}")
     n = int(seen.get["n"])
     log.info("result %s: %d rows in %.1f s", name, n, time.monotonic() - started)
@@ -70,10 +71,19 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def save_bloom(users: DataFrame, params: DataFrame, words: DataFrame, path: str) -> None:
-    """The three Bloom tables: exact user set, one parameter row, 64-bit words."""
-    for name, df in (("users", users), ("params", params), ("words", words)):
-        stored(df, f"{path}/bloom_{name}")
+def save_bloom(
+    users: DataFrame,
+    path: str,
+    make_params: Callable[[DataFrame], DataFrame],
+    make_words: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
+    """The three Bloom tables: exact user set, one parameter row, 64-bit words.
+
+    Each is built from the stored one before it, so the users are computed once.
+    """
+    users = stored(users, f"{path}/bloom_users")
+    params = stored(make_params(users), f"{path}/bloom_params")
+    stored(make_words(users, params), f"{path}/bloom_words")
 
 
 def load_bloom(

@@ -94,7 +94,7 @@ def test_probe_set(users):
     groups = {}
     for r in rows:
         groups.setdefault(r["probe_group"], set()).add(r["username"])
-    assert len(groups["positive"]) == 200 and groups["positive"] <= set(NAMES)
+    assert groups["positive"] == set(NAMES)
     assert groups["far_negative"] == {f"not_a_real_user_{i}" for i in range(1, 501)}
     assert groups["near_miss"] and not groups["near_miss"] & set(NAMES)
 
@@ -107,14 +107,26 @@ def test_probe_set_drops_known_names(spark):
 
 def test_evaluation(users, tables):
     params, words = tables
-    got = bloom.bloom_evaluation(users, params, words, bloom.bloom_probe_set(users)).first()
-    assert got["positive_queries"] == 200 and got["positive_false_negatives"] == 0
+    got = bloom.bloom_evaluation(params, words, bloom.bloom_probe_set(users), "here").first()
+    assert got["data_source"] == "here"
+    assert got["positive_queries"] == len(NAMES) and got["positive_false_negatives"] == 0
     assert got["negative_queries"] == 500
     assert got["false_positive_rate"] == got["false_positives"] / 500
     assert got["inserted_users"] == len(NAMES)
     assert got["bit_array_size"] == math.ceil(-len(NAMES) * math.log(0.01) / math.log(2) ** 2)
 
 
+def test_wide_hashes_miss_no_user(spark, users):
+    version = bloom.WIDE_HASH_VERSION
+    params = bloom.bloom_params(users, version=version)
+    words = bloom.bloom_words(users, params, version)
+    got = bloom.bloom_evaluation(params, words, bloom.bloom_probe_set(users), "here", version).first()
+    assert got["hash_version"] == version and got["positive_queries"] == len(NAMES)
+    assert got["positive_false_negatives"] == 0 and got["false_positive_rate"] < 0.05
+    hashed = bloom.hashes(users, version).agg({"h1": "max", "h2": "min"}).first()
+    assert hashed[0] > 2**50 and hashed[1] >= 1
+
+
 def test_empty_user_set(spark):
     users = spark.createDataFrame([], "username string")
     params = bloom.bloom_params(users)
@@ -125,7 +137,7 @@ def test_empty_user_set(spark):
 
 def test_saved_tables_and_their_version(spark, users, tables, tmp_path):
     params, words = tables
-    sinks.save_bloom(users, params, words, str(tmp_path))
+    sinks.save_bloom(users, str(tmp_path), bloom.bloom_params, bloom.bloom_words)
     _, params2, words2 = sinks.load_bloom(spark, str(tmp_path), bloom.HASH_VERSION)
     assert params2.first() == params.first()
     assert words2.exceptAll(words).count() == 0

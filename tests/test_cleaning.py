@@ -44,7 +44,15 @@ def test_dedup_keeps_the_earliest_readable_date(spark):
         post(1, "bad", date="bad"), post(2, "only", date="bad"), post(None, "x"), post(None, "y"),
     ])
     got = {(r["sid"], r["username"]) for r in cleaning.dedup_posts(raw).collect()}
-    assert got == {(1, "early"), (2, "only"), (None, "x")}
+    assert got == {(1, "early"), (2, "only"), (None, "x"), (None, "y")}
+
+
+def test_metrics_that_are_no_finite_number_are_null(spark):
+    df = spark.createDataFrame([("NaN",), ("Infinity",), ("-Infinity",), ("x",), ("1e3",)], "likes string")
+    got = [r["likes"] for r in cleaning.with_metric_doubles(df, ["likes"]).collect()]
+    assert got == [None, None, None, None, 1000.0]
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (2.0,)], "likes double")
+    assert [r["likes"] for r in cleaning.with_metric_doubles(df, ["likes"]).collect()] == [None, None, 2.0]
 
 
 def test_dedup_does_not_depend_on_partitioning(spark):
@@ -58,16 +66,17 @@ def test_dedup_does_not_depend_on_partitioning(spark):
 def test_clean_stats_agree_with_the_cleaned_frame(spark):
     raw = hot_posts(spark).union(posts(spark, [
         post(5000, None), post(5001, " "), post(5002, "z", date="bad"), post(None, "n"),
-        post(5003, None), post(5003, "kept"),
+        post(5003, None), post(5003, "kept"), post(None, "m", date="bad"), post(None, None),
     ]))
     clean = cleaning.clean_posts(raw, dedup=True).collect()
     stats = cleaning.clean_stats(raw).first().asDict()
-    assert stats["rows_before"] == 606
-    assert stats["unusable_users_removed"] == 3
-    assert stats["rows_after"] == len(clean) == 404
-    assert stats["duplicate_sids_removed"] == 606 - 3 - 404
+    assert stats["rows_before"] == 608
+    assert stats["unusable_users_removed"] == 4
+    assert stats["rows_after"] == len(clean) == 405
+    assert stats["duplicate_sids_removed"] == 608 - 4 - 405
+    assert stats["rows_without_id"] == 2
     assert stats["distinct_sids"] == len({r["sid"] for r in clean if r["sid"] is not None})
-    assert stats["null_dates"] == sum(r["post_date"] is None for r in clean) == 1
+    assert stats["null_dates"] == sum(r["post_date"] is None for r in clean) == 2
     assert stats["column_count"] == len(cleaning.clean_posts(raw).columns)
 
 
@@ -91,6 +100,15 @@ def legacy(spark):
     ], LEGACY)
 
 
+def test_clean_stats_of_the_legacy_layout(spark):
+    clean = cleaning.clean_legacy(legacy(spark))
+    stats = cleaning.clean_stats(legacy(spark)).first().asDict()
+    assert stats == {
+        "rows_before": 4, "unusable_users_removed": 1, "duplicate_sids_removed": 1, "rows_after": 2,
+        "distinct_sids": 2, "rows_without_id": 0, "null_dates": 0, "column_count": len(clean.columns),
+    }
+
+
 def test_clean_legacy(spark):
     rows = {r["post_id"]: r for r in cleaning.clean_legacy(legacy(spark)).collect()}
     assert set(rows) == {"12345678901234567890", "002"}
@@ -110,7 +128,7 @@ def test_legacy_under_primary_names_feeds_the_reports(spark):
 
 def test_profiles(spark):
     raw = posts(spark, [post(1, "A"), post(2, "a", likes=None), post(3, None, comments=None)])
-    assert tuple(profile.overview(raw).first()) == (3, 16, 2)
+    assert tuple(profile.overview(raw).first()) == (3, 16, 3)  # A, a and a missing one
     assert profile.source_nulls(raw).first().asDict() == {
         "null_username": 1, "null_likes": 1, "null_comments": 1, "null_followers": 0,
     }

@@ -3,8 +3,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from postgrain.operators import cleaning, rollups, slices, topk
+from postgrain.operators import cleaning, quantiles, rollups, slices, topk
 from postgrain.operators.quantiles import discrete_quantiles
 from tests.data import bag, post, posts
 
@@ -29,6 +30,17 @@ def test_quantiles_equal_a_sort(spark, q, buckets):
     assert list(got) == [discrete(col, q) for col in zip(*rows)]
 
 
+def test_an_outlier_leaves_few_values_to_rank(spark):
+    """300,000 different values in [0, 1) and one of 1e12."""
+    n = 300_000
+    df = spark.range(n).select((F.col("id") * 7919 % n / n).alias("a")).union(spark.createDataFrame([(1e12,)], "a double"))
+    counts = quantiles.value_counts(df, ["a"])
+    ranked = counts.withColumn("rank", F.lit(n // 2 + 1))
+    left = quantiles._narrowed(ranked, F.asinh, quantiles.HISTOGRAM_BUCKETS)
+    assert left.count() < 200
+    assert discrete_quantiles(df, ["a"], 0.5).first()[0] == 0.5
+
+
 def test_quantiles_of_nothing_are_null(spark):
     df = spark.createDataFrame([(None, None)], "a double, b double")
     assert tuple(discrete_quantiles(df, ["a", "b"], 0.5).first()) == (None, None)
@@ -85,12 +97,15 @@ def test_ties_go_to_the_smaller_name(spark):
         assert got == [f"u{i:02d}" for i in range(15)]
 
 
-def test_top_per_group_beyond_the_pruned_rank_is_the_same(spark, monkeypatch):
+def test_top_per_group_beyond_the_pruned_rank_is_the_same(spark):
     df = spark.range(5000).selectExpr("id", "if(id % 3 = 0, 'hot', 'cold') AS g", "(id * 7919) % 1000 AS v")
     order = [df.v.desc(), df.id]
     plain = bag(topk.top_per_group(df, ["g"], order, "id", 900))
-    monkeypatch.setattr(topk, "PRUNED_RANK", 10)
-    assert bag(topk.top_per_group(df, ["g"], order, "id", 900)) == plain
+    spark.conf.set(topk.PRUNED_RANK, "10")
+    try:
+        assert bag(topk.top_per_group(df, ["g"], order, "id", 900)) == plain
+    finally:
+        spark.conf.unset(topk.PRUNED_RANK)
 
 
 # ---------------------------------------------------------------- slices
@@ -172,9 +187,15 @@ def test_charts_ignore_their_own_dimension(clean):
     assert None not in {r["description_category"] for r in categories}
 
 
-def test_facets_are_sorted_and_limited(clean):
-    got = [tuple(r) for r in slices.facet_values(clean, categories=2).collect()]
-    assert got == [
-        ("description_category", "art"), ("description_category", "food"),
-        ("post_type_label", "Post Type 1"), ("post_type_label", "Post Type 2"),
-    ]
+def test_facets_are_sorted_and_limited_on_demand(clean):
+    cube = slices.filter_cube(clean)
+    labels = [("post_type_label", "Post Type 1"), ("post_type_label", "Post Type 2")]
+    names = [("description_category", c) for c in ("art", "food", "pets")]
+    assert [tuple(r) for r in slices.facet_values(cube).collect()] == names + labels
+    assert [tuple(r) for r in slices.facet_values(cube, categories=2).collect()] == names[:2] + labels
+
+
+def test_all_categories_are_offered(spark):
+    many = cleaning.clean_posts(posts(spark, [post(i, description_category=f"c{i % 100:02d}") for i in range(200)]))
+    got = slices.facet_values(slices.filter_cube(many)).filter("facet = 'description_category'")
+    assert [r["choice"] for r in got.collect()] == [f"c{i:02d}" for i in range(100)]

@@ -4,6 +4,7 @@ import collections
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from postgrain.operators import charts, cleaning, explorer, sampling
 from tests.data import bag, post, posts
@@ -15,21 +16,44 @@ def clean(spark):
     return cleaning.clean_posts(posts(spark, rows)).cache()
 
 
-def digest(r):
-    return hashlib.md5(f"{r['sid']}|{r['date']}|{r['username']}".encode()).hexdigest()
+def digests(df):
+    """(digest, sid) of every row, from its values and its number among equal rows."""
+    seen, out = collections.Counter(), []
+    for r in df.collect():
+        text = "|".join(
+            f"{v:.6f}" if isinstance(v, float) else str(v).lower() if isinstance(v, bool) else str(v)
+            for v in r if v is not None
+        )
+        out.append((hashlib.md5(f"{text}|{seen[text]}".encode()).hexdigest(), r["sid"]))
+        seen[text] += 1
+    return sorted(out)
 
 
 def test_sample_is_the_rows_below_the_threshold(clean):
-    want = sorted(r["sid"] for r in clean.collect() if digest(r) < "19999999")
+    columns = ["sid", "date", "username", *sampling.SAMPLE_REQUIRED, *sampling.SAMPLE_OPTIONAL]
+    want = sorted(sid for d, sid in digests(clean.select(*columns)) if d < "19999999")
     got = sampling.engagement_sample(clean, fraction=0.1, extra=("sid",)).collect()
     assert sorted(r["sid"] for r in got) == want
     assert 100 < len(want) < 300
 
 
 def test_cap_keeps_the_smallest_digests(clean):
-    want = sorted(clean.collect(), key=digest)[:300]
     got = sampling.explorer_sample(clean, cap=300).collect()
-    assert sorted(r["sid"] for r in got) == sorted(r["sid"] for r in want)
+    assert sorted(r["sid"] for r in got) == sorted(sid for _, sid in digests(clean)[:300])
+
+
+def test_a_repeated_post_is_drawn_copy_by_copy(spark):
+    """100,000 posts of one id, date and user: equal in all columns, or with different likes."""
+    one = cleaning.clean_posts(posts(spark, [post(1)]))
+    for likes in (F.lit(5.0), F.col("id") % 7):
+        many = one.drop("likes").join(spark.range(100_000)).withColumn("likes", likes.cast("double"))
+        n = sampling.engagement_sample(many).count()
+        assert 800 < n < 1200
+        assert sampling.engagement_sample(many.repartition(3)).count() == n
+
+
+def test_the_sample_has_no_cap(clean):
+    assert sampling.engagement_sample(clean, fraction=1).count() == 2000
 
 
 @pytest.mark.parametrize("cap", [1, 37, 1999, 2000, 5000])
@@ -47,14 +71,14 @@ def test_copies_of_a_row_keep_their_number(spark):
     """A third of the rows are copies of one row."""
     rows = [post(1)] * 300 + [post(10 + i) for i in range(600)]
     clean = cleaning.clean_posts(posts(spark, rows).repartition(7))
-    order = sorted(clean.collect(), key=digest)
+    order = digests(clean)
     for cap in (5, 400, 700, 900, 1000):
         got = collections.Counter(r["sid"] for r in sampling.explorer_sample(clean, cap).collect())
-        assert got == collections.Counter(r["sid"] for r in order[:cap])
+        assert got == collections.Counter(sid for _, sid in order[:cap])
 
 
 def test_empty_input(clean):
-    assert sampling.explorer_sample(clean.limit(0)).count() == 0
+    assert sampling.explorer_sample(clean.limit(0), 10).count() == 0
 
 
 # ---------------------------------------------------------------- explorer
@@ -78,10 +102,17 @@ def test_page_search_and_filters(clean):
     assert tuple(none) == (0, 2000)
 
 
-def test_explorer_never_pages_past_its_cap(clean, monkeypatch):
-    monkeypatch.setattr(explorer, "EXPLORER_CAP", 120)
-    assert explorer.explorer_page(clean, {}, page=1, size=100).count() == 20
-    assert explorer.explorer_page(clean, {}, page=2, size=100).count() == 0
+def test_explorer_pages_through_all_posts(clean):
+    many = clean.drop("sid").join(spark_range(clean, 15)).withColumn("sid", F.col("id"))
+    assert many.count() == 30_000
+    assert explorer.explorer_page(many, {}, page=100, size=100).count() == 100
+    assert explorer.explorer_page(many, {}, page=299, size=100).count() == 100
+    assert explorer.explorer_page(many, {}, page=300, size=100).count() == 0
+    assert explorer.explorer_page(many, {}, size=20_000).count() == 20_000
+
+
+def spark_range(df, n):
+    return df.sparkSession.range(n)
 
 
 # ---------------------------------------------------------------- grade bins
@@ -104,9 +135,11 @@ def test_bins_without_a_spread(spark):
     assert [(r["post_count"], r["mean_likes"]) for r in got] == [(60, 3.0)]
 
 
-def test_too_few_rows_to_bin(spark):
-    assert charts.grade_bins(grades(spark, [0.1, 0.2] * 24), "image_grade").count() == 0
-    assert charts.grade_bins(grades(spark, [0.1, None] * 49), "image_grade").count() == 0
+def test_few_rows_are_binned_unless_a_least_number_is_asked_for(spark):
+    few = grades(spark, [0.1, 0.2] * 24 + [0.2])
+    assert [r["post_count"] for r in charts.grade_bins(few, "image_grade").collect()] == [24, 25]
+    assert charts.grade_bins(few, "image_grade", min_rows=50).count() == 0
+    assert charts.grade_bins(grades(spark, [None, None]), "image_grade").count() == 0
 
 
 def test_scatter_points(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from postgrain.operators import cleaning
+from postgrain.operators import cleaning, rollups
 from postgrain.plans import report
 from postgrain.sources import readers, sinks
 from tests.data import bag, post, posts
@@ -64,8 +64,24 @@ def test_clean_posts_are_stored_by_year(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(post_year" in plan
 
 
+def test_large_results_are_ordered_over_several_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        places = spark.range(100_000).select(
+            F.format_string("place %06d", F.col("id") * 7919 % 100_000).alias("location"), F.lit(1.0).alias("engagement")
+        )
+        result = rollups.legacy_location_analysis(places)
+        assert sinks.save_result(result, str(tmp_path), "places") == 100_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "places").glob("part-*.csv"))
+    lines = [line for f in files for line in f.read_text().splitlines()[1:]]
+    assert len(files) > 1
+    assert [line.split(",")[0] for line in lines] == [f"place {i:06d}" for i in range(100_000)]
+
+
 def test_result_is_one_file_and_counted(spark, tmp_path):
-    df = spark.range(100).repartition(7).withColumn("half", F.col("id") / 2)
+    df = spark.range(100).withColumn("half", F.col("id") / 2).orderBy(F.desc("id"))
     assert sinks.save_result(df, str(tmp_path), "numbers") == 100
     assert len(list((tmp_path / "numbers").glob("part-*.csv"))) == 1
     assert bag(readers.read_result(spark, str(tmp_path / "numbers"), df.schema)) == bag(df)
@@ -86,6 +102,7 @@ def test_report_on_both_layouts(spark, tmp_path):
     assert set(rows) == (
         {"clean_stats", "bloom_filter_results"} | set(report.CHARTS) | set(report.RESULTS)
     ) - {"legacy_content_analysis", "location_analysis"}
+    assert rows["engagement_sample"] < 20
     summary = readers.read_result(spark, str(tmp_path / "primary/results/overall_summary")).first()
     assert (summary["total_posts"], summary["unique_users"]) == (400, 70)
 
@@ -95,6 +112,8 @@ def test_report_on_both_layouts(spark, tmp_path):
         "num_comments string, date_posted string, location string",
     )
     rows = report.run_report("fallback", legacy, str(tmp_path / "legacy"))
+    stats = readers.read_result(spark, str(tmp_path / "legacy/results/clean_stats")).first()
+    assert (stats["rows_before"], stats["rows_after"]) == (60, 60)
     assert rows["location_analysis"] == rows["overall_summary"] == 1
     assert rows["top_users_by_engagement"] == 9
     assert "filter_cube" not in rows
