@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from pyspark.sql.window import Window
 
-from postgrain import functions as fx
 from postgrain.schema import SAMPLE_OPTIONAL, SAMPLE_REQUIRED, present, user_column
 
 SAMPLE_FRACTION = 0.01
