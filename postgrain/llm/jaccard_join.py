@@ -15,8 +15,9 @@ differences by a `slack`; as long as either set has no more such segments than t
 something. The same slack pays for crowded signatures, those of more than `CROWD` groups that are not yet linked: they are
 left out for sets that can afford it. Sets that cannot, go by single shingles, and what is crowded even there is compared pair by pair.
 
-First a few segments of each set link most near copies to one of them, so that thousands of copies are one group when
-all segments are compared; pairs within a group need no comparison. All links are verified on the sets.
+First a few signatures of each set link most near copies to one of them, so that thousands of copies are one group when
+all segments are compared; pairs within a group need no comparison. Two similar sets agree on more segments than either's
+slack, so pairs of different groups that share fewer signatures are dropped. All links are verified on the sets.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ from postgrain.llm.text import buffers, mixed, shingles, slices, sorted_sets
 
 K = 5
 CROWD = 16
-# Segments of each set that the first round compares.
-FIRST = 6
+# Signatures of each set that the first rounds compare, and these rounds.
+FIRST, ROUNDS = 6, 2
 # Signatures that one task matches, on average, and a guess of how many a document has.
 MATCHED, EXPECTED = 2_500_000, 300
 # Nodes sent to all tasks at most; beyond that the join shuffles texts.
@@ -141,7 +142,8 @@ def signatures(values: np.ndarray, at: np.ndarray, single: bool = False) -> tupl
                 rows.append(chosen[row[again]])
             present = np.bincount(row[first][~loose], minlength=len(chosen))
             firm = np.bincount(row[first][loose & (count > 1)], minlength=len(chosen))
-            left.append(slack - (exact - present) - 2 * (deletions - firm))
+            spare = slack - (exact - present) - 2 * (deletions - firm)
+            left.append(spare // 2 if deletions else spare)  # a signature may stand for two there
     join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
     return join(sigs, np.uint64), join(rows, np.int64), join(takes, np.int64), join(left, np.int64)
 
@@ -172,14 +174,14 @@ _KEYED = "kind int, owner bigint, payload binary, nodes binary"
 LINK = "a bigint, b bigint"
 
 
-def _payloads(sig: np.ndarray, row: np.ndarray, node: np.ndarray, group: np.ndarray, size: np.ndarray, bits: int) -> Iterator[tuple]:
+def _payloads(sig: np.ndarray, row: np.ndarray, bits: int, **of_row: np.ndarray) -> Iterator[tuple]:
     order = np.argsort(sig)
     sig, row = sig[order], row[order]
     edges = [0, *(np.searchsorted(sig, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []), len(sig)]
     for owner, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
         if a < b:
             there, local = np.unique(row[a:b], return_inverse=True)
-            nodes = pa.record_batch({"node": node[there], "group": group[there], "size": size[there].astype(np.int32)})
+            nodes = pa.record_batch({name: values[there] for name, values in of_row.items()})
             payload = pa.record_batch({"sig": pa.array([packed_sorted(sig[a:b])]), "row": pa.array([packed_numbers(local.astype(np.uint32))])})
             yield 1, owner, to_ipc(payload), to_ipc(nodes)
 
@@ -192,8 +194,8 @@ def _emit(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _met(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(begin of each signature shared by two nodes or more plus the end; node, group, size in the order of signatures)."""
+def _met(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """Of signatures that two nodes or more share: (where each begins plus the end; the signatures and their nodes, in order)."""
     nodes, sigs, at, seen = [], [], [], 0
     for payload, who in zip(table["payload"], table["nodes"], strict=True):
         own = pa.ipc.open_stream(payload.as_buffer()).read_all()
@@ -201,39 +203,40 @@ def _met(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         at.append(unpacked_numbers(own["row"][0].as_py(), np.uint32).astype(np.int64) + seen)
         nodes.append(pa.ipc.open_stream(who.as_buffer()).read_all())
         seen += nodes[-1].num_rows
-    every, sig, place = pa.concat_tables(nodes), np.concatenate(sigs), np.concatenate(at)
+    every, sig, place = pa.concat_tables(nodes).combine_chunks(), np.concatenate(sigs), np.concatenate(at)
     order = np.argsort(sig)
     sig, place = sig[order], place[order]
     same = sig[1:] == sig[:-1]
     shared = np.append(same, False) | np.append(False, same)
     sig, place = sig[shared], place[shared]
-    node, group, size = (every[c].to_numpy()[place] for c in ("node", "group", "size"))
+    node = every["node"].to_numpy()[place]
     order = np.lexsort((node, sig))
-    sig, node, group, size = sig[order], node[order], group[order], size[order]
-    new = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])) if len(sig) else np.empty(0, bool)
-    sig, node, group, size = sig[new], node[new], group[new], size[new]
+    sig, node, place = sig[order], node[order], place[order]
+    once = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])) if len(sig) else np.empty(0, bool)
+    sig, place = sig[once], place[once]
     begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
-    return np.append(begin, len(sig)), node, group, size
+    return np.append(begin, len(sig)), sig, every.take(pa.array(place))
 
 
-def _links(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    both = np.unique(np.stack([low, high], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-    return pa.table({"a": both[:, 0], "b": both[:, 1]})
+def _members(table: pa.Table) -> pa.Table:
+    """The nodes of each signature that two or more share."""
+    begin, sig, nodes = _met(table)
+    many = np.repeat(np.diff(begin) > 1, np.diff(begin))
+    kept = nodes.filter(pa.array(many))
+    return pa.table({"sig": sig[many].view(np.int64), "node": kept["node"], "size": kept["size"]})
 
 
-def _to_leaders(table: pa.Table) -> pa.Table:
-    """Each node with the smallest node that shares a signature with it."""
-    begin, node, _, size = _met(table)
-    leader = np.repeat(begin[:-1], np.diff(begin))
-    fits = (4 * np.minimum(size, size[leader]) >= 3 * np.maximum(size, size[leader])) & (node != node[leader])
-    return _links(node[fits], node[leader][fits])
+def _fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be similar."""
+    return 4 * np.minimum(a, b) >= 3 * np.maximum(a, b)
 
 
 def _across(table: pa.Table, crowd: int) -> pa.Table:
-    """Pairs of nodes of different groups that share a signature; for crowded signatures (a NULL b) the nodes alone, one row each time."""
-    begin, node, group, size = _met(table)
-    a, b, lone = [], [], []
+    """(a, b, times, need): pairs of nodes of different groups, the signatures that they share here, and how many they must share
+    everywhere; for crowded signatures (NULL b) the nodes alone and the number of these."""
+    begin, _, nodes = _met(table)
+    node, group, size, left = (nodes[c].to_numpy() for c in ("node", "group", "size", "left"))
+    one, two, lone = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for x, y in zip(begin.tolist(), begin[1:].tolist(), strict=False):
         own = group[x:y]
         if y - x < 2 or (own == own[0]).all():
@@ -243,15 +246,17 @@ def _across(table: pa.Table, crowd: int) -> pa.Table:
             continue
         for i in range(x, y - 1):
             other = np.flatnonzero(group[i + 1 : y] != group[i]) + i + 1
-            other = other[4 * np.minimum(size[other], size[i]) >= 3 * np.maximum(size[other], size[i])]
-            a.append(np.full(len(other), i))
-            b.append(other)
-    pairs = _links(node[np.concatenate(a)], node[np.concatenate(b)]) if a else _links(node[:0], node[:0])
-    if not lone:
-        return pairs.append_column("times", pa.array(np.zeros(pairs.num_rows, np.int64)))
-    who, times = np.unique(node[np.concatenate(lone)], return_counts=True)
-    alone = pa.table({"a": who, "b": pa.array([None] * len(who), pa.int64()), "times": times})
-    return pa.concat_tables([pairs.append_column("times", pa.array(np.zeros(pairs.num_rows, np.int64))), alone])
+            other = other[_fit(size[other], size[i])]
+            one.append(np.full(len(other), i))
+            two.append(other)
+    a, b = np.concatenate(one), np.concatenate(two)
+    pairs, first, times = np.unique(np.stack([node[a], node[b]], axis=1), axis=0, return_index=True, return_counts=True)
+    need = np.maximum(left[a], left[b])[first] + 1
+    who, often = np.unique(node[np.concatenate(lone)], return_counts=True)
+    return pa.table({
+        "a": np.concatenate([pairs[:, 0], who]), "b": pa.array([*pairs[:, 1].tolist(), *[None] * len(who)], pa.int64()),
+        "times": np.concatenate([times, often]), "need": np.concatenate([need, np.zeros(len(who), np.int64)]),
+    })
 
 
 def _bits(n: int) -> int:
@@ -260,7 +265,7 @@ def _bits(n: int) -> int:
 
 def _beside(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
     """Texts joined to a stored table by key. A side of checked size goes to all tasks, so that texts are not shuffled."""
-    return texts.join(F.broadcast(side) if side.count() <= BROADCAST_NODES else side, "key", how)
+    return texts.join(_small(side), "key", how)
 
 
 def _sent(texts: DataFrame, bits: int, first: int | None = None, single: bool = False, report: bool = True) -> DataFrame:
@@ -274,9 +279,9 @@ def _sent(texts: DataFrame, bits: int, first: int | None = None, single: bool =
             group = sets.rows["root"].combine_chunks().fill_null(0).to_numpy() if named else sets.node
             group = np.where(group == 0, sets.node, group)
             sig, row, takes, slack = signatures(*sets.once(), single=single)
+            left = np.full(len(sets.node), np.iinfo(np.int64).max)
+            np.minimum.at(left, takes, slack)
             if report:
-                left = np.full(len(sets.node), np.iinfo(np.int64).max)
-                np.minimum.at(left, takes, slack)
                 told = pa.record_batch({"key": sets.rows["key"].combine_chunks(), "node": sets.node, "size": sets.size, "left": left})
                 rows.append((0, -1, to_ipc(told), None))
             if first is not None:  # the smallest few of each set; which these are depends on the signatures alone
@@ -284,7 +289,7 @@ def _sent(texts: DataFrame, bits: int, first: int | None = None, single: bool =
                 sig, row = sig[order], row[order]
                 rank = np.arange(len(row)) - np.searchsorted(row, row)
                 sig, row = sig[rank < first], row[rank < first]
-            rows += _payloads(sig, row, sets.node, group, sets.size, bits)
+            rows += _payloads(sig, row, bits, node=sets.node, group=group, size=sets.size, left=left)
             yield _emit(rows)
 
     return texts.mapInArrow(run, _KEYED)
@@ -299,10 +304,14 @@ def _reported(sent: DataFrame, schema: str) -> DataFrame:
     return sent.where(F.col("kind") == 0).select("payload").mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar."""
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(keys.join(asked, "node", "left_semi").select("key"), "join-wanted")
+def _small(side: DataFrame) -> DataFrame:
+    """A stored side for a broadcast where its checked size allows one."""
+    return F.broadcast(side) if side.count() <= BROADCAST_NODES else side
+
+
+def _sets_of(nodes: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(node, items) of the nodes; keys: one key of each node."""
+    wanted = stored(keys.join(nodes, "node", "left_semi").select("key"), "join-wanted")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
@@ -313,8 +322,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(sets.node[some]), pa.array(packed, pa.binary())], names=["node", "items"])
 
     sets = _beside(texts, wanted, "left_semi").mapInArrow(pick, "node bigint, items binary")
-    sets = stored(sets.dropDuplicates(["node"]), "join-sets")
+    return stored(sets.dropDuplicates(["node"]), "join-sets")
 
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the stored pairs (a, b) whose sets are similar."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
@@ -327,9 +339,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
                 keep.append(similar(common, len(one), len(two)))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    named = lambda node, items: sets.select(F.col("node").alias(node), F.col("items").alias(items))
-    both = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(compare, LINK), "join-links")
+    small = _small(pairs)
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x")).join(small, "a")
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y")).join(small.select("b"), "b", "left_semi")
+    return stored(left.join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, LINK), "join-links")
+
+
+def _to_leaders(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(a, b): of each group, one node with one of the group it shares most signatures with among the smallest groups there."""
+    rows = members.withColumn("group", F.col("node")) if roots is None else (
+        members.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+    )
+    one = rows.groupBy("sig", "group").agg(F.min(F.struct("node", "size")).alias("n"))
+    least = one.groupBy("sig").agg(F.min(F.struct("group", "n")).alias("l"))
+    least = stored(least, "join-least")
+    met = one.join(least, "sig").where(F.col("group") != F.col("l.group"))
+    low, high = F.least("n.size", "l.n.size"), F.greatest("n.size", "l.n.size")
+    pairs = met.where(4 * low >= 3 * high).groupBy("group", F.col("l.n.node").alias("a"), F.col("n.node").alias("b")).count()
+    return pairs.groupBy("group").agg(F.max_by(F.struct("a", "b"), F.struct("count", "a", "b")).alias("p")).select("p.a", "p.b")
 
 
 def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
@@ -342,42 +369,53 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
     """
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
     bits = _bits(documents.count())
-    schema = "a bigint, b bigint, times bigint"
+    schema = "a bigint, b bigint, times bigint, need bigint"
     sent = stored(_sent(texts, max(0, bits - 4), first=FIRST), "join-first")
     told = stored(_reported(sent, "key binary, node bigint, size bigint, left bigint"), "join-told")
     keys = stored(told.select("key", "node", "size").distinct(), "join-keys")
-    one_key = keys.groupBy("node").agg(F.min("key").alias("key"))
+    one_key = stored(keys.groupBy("node").agg(F.min("key").alias("key")), "join-one-key")
 
     def owned(rows: DataFrame, match, out: str) -> DataFrame:
         return rows.where(F.col("kind") == 1).groupBy("owner").applyInArrow(match, out)
 
-    pairs = stored(owned(sent, _to_leaders, LINK).distinct(), "join-pairs")
-    links = _verified(pairs, texts, one_key)
-    roots = stored(components(links), "join-roots")
+    members = stored(owned(sent, _members, "sig bigint, node bigint, size bigint"), "join-members")
+    sets = _sets_of(members.select("node").distinct(), texts, one_key)
+    links = roots = None
+    for _ in range(ROUNDS):
+        pairs = stored(_to_leaders(members, roots), "join-pairs")
+        if links is not None and pairs.isEmpty():
+            break
+        found = _verified(pairs, sets)
+        links = found if links is None else links.unionByName(found)
+        roots = stored(components(links), "join-roots")
 
     def grouped(of: DataFrame, how: str = "left") -> DataFrame:
-        side = stored(keys.join(of, "node").select("key", "root"), "join-groups")
-        return _beside(texts, side, how)
+        return _beside(texts, stored(keys.join(of, "node").select("key", "root"), "join-groups"), how)
 
     def across(most: int):
         return lambda table: _across(table, most)
 
     def crowded(found: DataFrame) -> DataFrame:
-        return found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("times").alias("times"))
+        return found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("times").alias("crowded"))
 
     def more(found: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-        new = stored(found.where(F.col("b").isNotNull()).select("a", "b").distinct(), "join-pairs")
-        if new.isEmpty():
+        pairs = found.where(F.col("b").isNotNull()).groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
+        # What crowded signatures may hide of a pair counts as shared, twice where one may stand for two.
+        hidden = crowded(found)
+        pairs = pairs.join(hidden, "a", "left").join(hidden.select(F.col("a").alias("b"), F.col("crowded").alias("too")), "b", "left")
+        hides = 2 * F.least(F.coalesce("crowded", F.lit(0)), F.coalesce("too", F.lit(0)))
+        pairs = stored(pairs.where(F.col("times") + hides >= F.col("need")).select("a", "b"), "join-pairs")
+        if pairs.isEmpty():
             return links, roots
-        links = links.unionByName(_verified(new, texts, one_key))
+        both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        links = links.unionByName(_verified(pairs, _sets_of(both, texts, one_key)))
         return links, stored(components(links), "join-roots")
 
-    sent = _sent(grouped(roots), bits, report=False)
-    found = stored(owned(sent, across(crowd), schema), "join-found")
+    found = stored(owned(_sent(grouped(roots), bits, report=False), across(crowd), schema), "join-found")
     links, roots = more(found, links, roots)
     # A crowded signature costs up to two; all of a node's are charged to its band with the least slack, which errs to the safe side.
     least = told.groupBy("node").agg(F.min("left").alias("left"))
-    short = least.join(crowded(found), least["node"] == F.col("a"), "left").where(F.col("left") < 2 * F.coalesce("times", F.lit(0))).select("node")
+    short = least.join(crowded(found), least["node"] == F.col("a"), "left").where(F.col("left") < 2 * F.coalesce("crowded", F.lit(0))).select("node")
     for most in (crowd, 2**62):
         short = stored(short, "join-short")
         if short.isEmpty():
@@ -387,9 +425,9 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
         found = stored(owned(sent, across(most), schema), "join-found")
         links, roots = more(found, links, roots)
         sizes = keys.groupBy("node").agg(F.max("size").alias("size"))
-        # Similar sets share three quarters of either; if no more than all but one of these are crowded, another is not. Each shingle counts in two bands.
+        # Similar sets share three quarters of either; if no more than all but one of these are crowded, another is not.
         spare = F.floor((3 * F.col("size") + 3) / 4) - 1
-        short = crowded(found).join(sizes, F.col("a") == F.col("node")).where(F.col("times") > spare).select("node")
+        short = crowded(found).join(sizes, F.col("a") == F.col("node")).where(F.col("crowded") > spare).select("node")
     return keys, roots
 
 
