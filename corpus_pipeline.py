@@ -8,7 +8,6 @@ Nulls, empty texts, repeated rows, further columns and empty tables are taken as
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from postgrain.llm import decontaminate, jaccard_join, language, mixing, token_files
 from postgrain.llm.queries import fold, table

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from postgrain.llm.queries import QUERIES
-from postgrain.llm.token_files import Encoder, WaveletMatrix, from_bytes, to_bytes, token_index
+from postgrain.llm.token_files import Encoder, from_bytes, to_bytes, token_index
 from tests.llm.data import documents, odd_rows, with_clashes
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
