@@ -43,10 +43,14 @@ CROWD = 16
 # Signatures of each set that the first rounds compare, and these rounds.
 FIRST, ROUNDS = 6, 2
 # Signatures that one task matches, on average, and a guess of how many a document has.
-MATCHED, EXPECTED = 2_500_000, 300
+MATCHED, EXPECTED = 1_500_000, 300
 # Nodes sent to all tasks at most; beyond that the join shuffles texts.
 BROADCAST_NODES = 500_000
-_SLICE = 8 << 20
+_SLICE = 2 << 20
+# Pairs that a Python worker gets at once, each with two whole sets.
+_PAIRS = 256
+# Pairs that a task notes before it counts equal ones together.
+_WAITING = 500_000
 
 
 def similar(common, a, b):
@@ -99,13 +103,13 @@ def allocation(low: int, high: int) -> tuple[int, int, int, int] | None:
 def signatures(values: np.ndarray, at: np.ndarray, single: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of sorted sets: (signature, row), and (row, slack left) of each set in each of its bands.
 
-    With ``single``, each shingle is a segment of its own everywhere.
+    With ``single``, each shingle is a segment of its own, the same in all bands.
     """
     size = np.diff(at)
     edges = bands(int(size.max(initial=1)))
     own = np.searchsorted(edges, size, "right") - 1
     sigs, rows, takes, left = [], [], [], []
-    for lower in (0, 1):
+    for lower in (0,) if single else (0, 1):
         band = own - lower
         taking = (size > 0) & (band >= 0)
         if lower:
@@ -116,7 +120,7 @@ def signatures(values: np.ndarray, at: np.ndarray, single: bool = False) -> tupl
             begin = np.cumsum(lengths) - lengths
             some = values[np.repeat(at[chosen] - begin, lengths) + np.arange(lengths.sum())]
             row = np.repeat(np.arange(len(chosen)), lengths)
-            salt = mixed(np.array([int(b) * 2 + 1 + (1 << 40 if single else 0)], np.uint64))
+            salt = mixed(np.array([1 << 40 if single else int(b) * 2 + 1], np.uint64))
             plan = None if single else allocation(int(edges[b]), int(edges[b + 1] - 1))
             takes.append(chosen)
             if plan is None:
@@ -236,7 +240,17 @@ def _across(table: pa.Table, crowd: int) -> pa.Table:
     everywhere; for crowded signatures (NULL b) the nodes alone and the number of these."""
     begin, _, nodes = _met(table)
     node, group, size, left = (nodes[c].to_numpy() for c in ("node", "group", "size", "left"))
-    one, two, lone = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    one, two, lone, waiting = [], [], [np.empty(0, np.int64)], 0
+    met = np.empty((0, 4), np.int64)  # a, b, times, need of each pair so far
+
+    def merged() -> np.ndarray:
+        a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (one, two))
+        rows = np.stack([node[a], node[b], np.ones(len(a), np.int64), np.maximum(left[a], left[b]) + 1], axis=1)
+        rows = np.concatenate([met, rows])
+        pairs, first, at = np.unique(rows[:, :2], axis=0, return_index=True, return_inverse=True)
+        times = np.bincount(at.ravel(), rows[:, 2], len(pairs)).astype(np.int64)
+        return np.column_stack([pairs, times, rows[first, 3]])
+
     for x, y in zip(begin.tolist(), begin[1:].tolist(), strict=False):
         own = group[x:y]
         if y - x < 2 or (own == own[0]).all():
@@ -249,9 +263,11 @@ def _across(table: pa.Table, crowd: int) -> pa.Table:
             other = other[_fit(size[other], size[i])]
             one.append(np.full(len(other), i))
             two.append(other)
-    a, b = np.concatenate(one), np.concatenate(two)
-    pairs, first, times = np.unique(np.stack([node[a], node[b]], axis=1), axis=0, return_index=True, return_counts=True)
-    need = np.maximum(left[a], left[b])[first] + 1
+            waiting += len(other)
+            if waiting > _WAITING:
+                met, one, two, waiting = merged(), [], [], 0
+    met = merged()
+    pairs, times, need = met[:, :2], met[:, 2], met[:, 3]
     who, often = np.unique(node[np.concatenate(lone)], return_counts=True)
     return pa.table({
         "a": np.concatenate([pairs[:, 0], who]), "b": pa.array([*pairs[:, 1].tolist(), *[None] * len(who)], pa.int64()),
@@ -342,7 +358,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     small = _small(pairs)
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x")).join(small, "a")
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y")).join(small.select("b"), "b", "left_semi")
-    return stored(left.join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, LINK), "join-links")
+    conf, name = pairs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, _PAIRS)
+    try:
+        return stored(left.join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, LINK), "join-links")
+    finally:
+        conf.set(name, before)
 
 
 def _to_leaders(members: DataFrame, roots: DataFrame | None) -> DataFrame:
