@@ -1,8 +1,9 @@
 """Benchmark passages in documents, in DataFrame and SQL functions only.
 
 A document holds a benchmark item when one of its windows of as many words as the item is similar enough: the weighted Jaccard
-similarity of their shingles, each weighing as often as it occurs. Windows are tried where they can match: a
-shingle that the document shares with the item lines the item up with the document.
+similarity of their shingles, each weighing as often as it occurs. Every window that can be similar enough is tried: of two bags of
+m shingles each, at least 2 m `least` / (1 + `least`) must be shared, so only windows with as many places that hold a shingle of
+the item can. None is passed over for where these places stand.
 
 Each window gets a 64-bit SimHash of its weighted shingles, as each item does. Fingerprints within `radius` bits of an item's
 agree with it, in at least one of `blocks` blocks of bits, up to radius // blocks of them. Items are therefore indexed by all
@@ -50,6 +51,22 @@ def similarity(a: str, b: str) -> Column:
     return F.expr(f"{shared} / (size({a}) + size({b}) - {shared})")
 
 
+def _starts(least: float) -> Column:
+    """First words of all windows that hold enough of the sorted ``places``, each once, within the document.
+
+    A window holds the i-th place and as many after it as are needed when it begins between what the last of these still allows and the
+    i-th place itself; those that begin at an earlier place or before it hold that one too, and are given with it.
+    """
+    shingles = "(n_words - k + 1)"
+    need = f"greatest(1, cast(ceil({2 * least / (1 + least)!r}D * {shingles} - 1e-9D) as int))"
+    low = f"greatest(0, places[i + {need} - 1] - {shingles} + 1, if(i > 0, places[i - 1] + 1, 0))"
+    high = "least(places[i], doc_words - n_words)"
+    return F.expr(
+        f"flatten(transform(if(size(places) < {need}, cast(array() as array<int>), sequence(0, size(places) - {need})), "
+        f"i -> if({low} <= {high}, sequence({low}, {high}), cast(array() as array<int>))))"
+    )
+
+
 def _block_values(radius: int, blocks: int) -> list[tuple[int, list[int]]]:
     """For each block of bits, where it begins and all differences that its values may have."""
     width = 64 // blocks
@@ -77,22 +94,23 @@ def contaminated(
     sizes = [r[0] for r in items.select("k").distinct().orderBy("k").collect()]  # at most k values
     docs = documents.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
     worded = docs.withColumn("words", word_list(F.col("text")))
-    told = items.select("k", "item_id", "item_key", "n_words", F.posexplode("hashes").alias("item_at", "h"))
+    told = items.select("k", "item_key", "n_words", F.explode("hashes").alias("h"))
     hits = None
     for size in sizes:
-        own = told.where(F.col("k") == size).drop("k")
+        own = told.where(F.col("k") == size).select("item_key", "n_words", "h").distinct()
         at = worded.select("doc_id", "text_key", F.size("words").alias("doc_words"), F.posexplode(shingle_hashes("words", size)).alias("at", "h"))
-        some = at.join(own, "h").select("doc_id", "text_key", "item_key", "n_words", "doc_words", (F.col("at") - F.col("item_at")).alias("start"))
+        some = at.join(own, "h").select("doc_id", "text_key", "item_key", "n_words", "doc_words", "at", F.lit(size).alias("k"))
         hits = some if hits is None else hits.unionByName(some)
     schema = "doc_id %s, text_key string, item_id %s, similarity double, start int, distance int, n_windows bigint" % tuple(
         d.schema[c].dataType.simpleString() for d, c in ((documents, "doc_id"), (benchmark, "item_id"))
     )
     if hits is None:
         return documents.sparkSession.createDataFrame([], schema)
-    # An item that hangs over an edge of the document is moved inside.
-    inside = F.greatest(F.lit(0), F.least(F.col("start"), F.col("doc_words") - F.col("n_words")))
-    windows = hits.where(F.col("doc_words") >= F.col("n_words")).withColumn("start", inside)
-    windows = stored(windows.select("doc_id", "text_key", "n_words", "start").distinct(), "benchmark-windows")
+    places = hits.where(F.col("doc_words") >= F.col("n_words")).groupBy("doc_id", "text_key", "item_key", "n_words", "doc_words", "k").agg(
+        F.sort_array(F.collect_set("at")).alias("places")
+    )
+    windows = places.select("doc_id", "text_key", "n_words", F.explode(_starts(least)).alias("start"))
+    windows = stored(windows.distinct(), "benchmark-windows")
     wanted = windows.groupBy("text_key").agg(F.collect_set(F.struct("n_words", "start")).alias("windows"))
     texts = docs.join(wanted, "text_key", "left_semi").select("text_key", "text").groupBy("text_key").agg(F.max("text").alias("text"))
     cut = (

@@ -93,3 +93,33 @@ def test_whole_table(spark):
     want = {(d, j): s for (d, _, j), s in slow(load("documents"), load("benchmark")).items()}
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in QUERIES["op7_benchmark_leaks"](spark, sf).collect()}
     assert got == pytest.approx(want) and got
+
+
+def every_window(docs, items):
+    """(doc_id, item_id) -> (best similarity, its first start, similar windows)."""
+    out = {}
+    for j, item in items:
+        w = words(item)
+        k = min(5, len(w))
+        want = bag(w, k)
+        for d, text in docs:
+            t = words(text)
+            shared = [(bag(t[s : s + len(w)], k) & want).total() for s in range(len(t) - len(w) + 1)]
+            got = [x / (2 * want.total() - x) for x in shared]
+            if got and max(got) >= 0.75:
+                out[d, j] = (max(got), got.index(max(got)), sum(x >= 0.75 for x in got))
+    return out
+
+
+def test_window_between_two_alignments(spark):
+    """The first and last 4 words changed and 8 inserted in the middle: the best window is lined up with no shared shingle."""
+    item = [f"word{i}" for i in range(100)]
+    edited = [f"new{i}" for i in range(4)] + item[4:50] + [f"more{i}" for i in range(8)] + item[50:96] + [f"last{i}" for i in range(4)]
+    text = " ".join([f"before{i}" for i in range(200)] + edited + [f"after{i}" for i in range(50)])
+    docs, items = [(1, text), (2, "nothing of it")], [(7, " ".join(item))]
+    df, bench = documents(spark, [(*d, "en", "s") for d in docs]), spark.createDataFrame(items, ITEM)
+    want = every_window(docs, items)
+    assert want[1, 7][:2] == (pytest.approx(84 / 108), 204)
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"], r["n_windows"]) for r in contaminated(df, bench, radius=63).collect()}
+    assert got == want
+    assert [r["doc_id"] for r in clean_documents(df, bench).collect()] == [2]
