@@ -12,16 +12,18 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -158,6 +160,9 @@ class Encoder:
     that are no white space, around a line feed that does, and where ASCII letters (or U+00C0-U+00FF letters on the left), digits and
     other ASCII signs meet, but for an apostrophe on the left, which may begin a contraction. So the pieces' ids in a row are the
     whole text's. Pieces are told apart by 64-bit hashes.
+
+    The tokenizer's added tokens (such as <|endoftext|>) are found in texts first, as the library does, and are pieces of their own;
+    the rest is cut as if texts began and ended there.
     """
 
     _LETTER, _DIGIT, _SIGN, _APOSTROPHE = (np.zeros(256, bool) for _ in range(4))
@@ -169,8 +174,12 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("added tokens that take their surroundings into account, or are normalized, are not supported")
+        self.added = sorted((t.content for t in added), key=len, reverse=True)  # of those that begin at one place the longest is taken
+        self.finder = re.compile(b"|".join(re.escape(t.encode()) for t in self.added))
         self.forget()
 
     def forget(self) -> None:
@@ -178,7 +187,17 @@ class Encoder:
         self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)  # where their ids are
         self.flat = np.empty(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
 
-    def _cuts(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def _added(self, texts: pa.Array, raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Where added tokens begin and end."""
+        holds = np.zeros(len(texts), bool)
+        for token in self.added:
+            holds |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        for row in np.flatnonzero(holds):
+            first = int(at[row])
+            for found in self.finder.finditer(raw[first : at[row + 1]].tobytes()):
+                yield first + found.start(), first + found.end()
+
+    def _cuts(self, raw: np.ndarray, at: np.ndarray, added: Iterable[tuple[int, int]]) -> np.ndarray:
         cut = np.zeros(len(raw) + 1, bool)
         letter, digit, sign = self._LETTER[raw], self._DIGIT[raw], self._SIGN[raw]
         left = letter.copy()
@@ -189,6 +208,9 @@ class Encoder:
         alone = solid[:-2] & after
         cut[1:-2] |= alone & ((raw[1:-1] == 0x20) | (raw[1:-1] == 0x0A))
         cut[2:-1] |= alone & (raw[1:-1] == 0x0A)
+        for begin, end in added:
+            cut[begin : end + 1] = False
+            cut[[begin, end]] = True
         cut[at] = True
         return np.flatnonzero(cut)
 
@@ -210,7 +232,7 @@ class Encoder:
             raw, at, pad = np.concatenate([raw, np.full(3, 0x20, np.uint8)]), np.append(at, len(raw) + 3), 1
         else:
             pad = 0
-        cuts = self._cuts(raw, at)
+        cuts = self._cuts(raw, at, self._added(texts, raw, at))
         coded = pa.array(span_hashes(raw, cuts[:-1], cuts[1:])).dictionary_encode()
         hashes, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         if len(self.known) + len(hashes) > REMEMBERED:

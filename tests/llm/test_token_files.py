@@ -66,3 +66,23 @@ def test_odd_rows(spark):
     df = with_clashes(documents(spark, odd_rows()), "start", "shard", "position", "content")
     check([(r[0], r[1]) for r in odd_rows()], token_index(df).collect())
     assert token_index(df.limit(0)).count() == 0
+
+
+UNMODIFIED = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "end", "'s", "'", " ", "\n", "  ", "1", "!", "é", "日", "<|"]), max_size=9).map("".join), max_size=4))
+def test_added_tokens_are_found_as_the_library_does(texts):
+    texts = ["end <|endoftext|> start", "<|endof", "text|>", None, *texts]
+    ids, sizes = ENCODER.encode(pa.array(texts, pa.string()))
+    want = [UNMODIFIED.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[0] == [437, 220, 50256, 923]
+    assert [list(x) for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+
+def test_added_tokens_in_the_index(spark):
+    text = "end <|endoftext|> start"
+    ids = np.array([*UNMODIFIED.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    got = token_index(documents(spark, [(1, text, "en", "s"), (2, "x", "en", "s")])).orderBy("doc_id").collect()
+    assert (got[0]["n_tokens"], got[0]["ids_crc32"], got[1]["start"]) == (5, zlib.crc32(ids.tobytes()), 5)
