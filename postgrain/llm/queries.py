@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, decontaminate, jaccard_join, language, lm, mixing, neighbours, repeats, token_files, url_rules
+from postgrain.llm import chat, decontaminate, divergence, jaccard_join, language, lm, mixing, neighbours, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,10 +90,15 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_windows(chat.format_windows(rows.unionByName(hard)))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op5_jaccard_join, op6_url_filter, op7_benchmark_leaks, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
+        op12_source_divergence,
     )
 }
 
@@ -128,4 +133,25 @@ ORACLE_SQL: dict[str, str] = {
       CASE WHEN hit IS NOT NULL THEN split_part(hit, ':', 2) WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
       CASE WHEN hit IS NULL THEN pattern END AS pattern
     FROM longest""",
+    "op12_source_divergence": r"""
+    WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    terms AS (SELECT d, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+    kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+    langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    totals AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total FROM groups g LEFT JOIN counts c USING (lang, source) GROUP BY ALL),
+    shares AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+      1 + 1000000000 * (coalesce(c.n, 0) + 5) // (t.total + 5 * l.v) AS p,
+      1 + 1000000000 * (k.n + 5) // (l.total + 5 * l.v) AS q
+      FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(x.p - y.p)) AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+      LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+    every AS (SELECT lang, source, part, item, coalesce(value, 0)::BIGINT AS value FROM pairs
+      UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every)
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
