@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, decontaminate, divergence, jaccard_join, language, lm, mixing, neighbours, repeats, token_files, url_rules
+from postgrain.llm import chat, decontaminate, divergence, jaccard_join, language, lm, mixing, neighbours, repeats, spelling, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,10 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_windows(chat.format_windows(rows.unionByName(hard)))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), planted=spelling.PLANTED)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -98,7 +102,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op5_jaccard_join, op6_url_filter, op7_benchmark_leaks, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
-        op12_source_divergence,
+        op11_spelling_variants, op12_source_divergence,
     )
 }
 
