@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgrain.llm import chat, decontaminate, divergence, jaccard_join, language, lm, mixing, neighbours, repeats, spelling, token_files, url_rules
+from postgrain.llm import chat, decontaminate, divergence, jaccard_join, language, lm, mixing, mtree, neighbours, repeats, spelling, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,11 +98,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_deleted_interpolation, op2_repeated_passages, op3_pivotal_mix, op4_graph_neighbours, op5_jaccard_join, op6_url_filter, op7_benchmark_leaks, op8_wavelet_tokens, op9_compression_language, op10_chat_windows,
-        op11_spelling_variants, op12_source_divergence,
+        op11_spelling_variants, op12_source_divergence, op13_mtree_top_k,
     )
 }
 
@@ -158,4 +162,12 @@ ORACLE_SQL: dict[str, str] = {
       UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every)
     SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op13_mtree_top_k": """
+    WITH fine AS (SELECT vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    whole AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM fine),
+    scored AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM whole a JOIN whole b ON a.vec_id <> b.vec_id AND a.vec_id % 50 = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
