@@ -204,9 +204,12 @@ def bloom_evaluation(
 
     ``negative_*`` counts the invented names, ``near_*`` the one-character mutations.
     """
-    checked = probe_set.join(
-        bloom_lookup(probe_set.select("username").distinct(), words, params, version), "username"
-    )
+    found = bloom_lookup(probe_set.select("username").distinct(), words, params, version)
+    return evaluation_row(probe_set.join(found, "username"), params, data_source)
+
+
+def evaluation_row(checked: DataFrame, params: DataFrame, data_source: str) -> DataFrame:
+    """The row of an evaluation, from probes with ``probe_group`` and ``bloom_hit``."""
     group, hit = F.col("probe_group"), F.col("bloom_hit")
     tally = checked.agg(
         F.count_if(group == "positive").alias("positive_queries"),

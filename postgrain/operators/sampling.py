@@ -35,6 +35,11 @@ def _text(df: DataFrame, name: str) -> Column:
     return col.cast("string")
 
 
+def row_text(rows: DataFrame) -> Column:
+    """All values of a row as one text; missing ones are left out."""
+    return F.concat_ws("|", *[_text(rows, c) for c in rows.columns])
+
+
 def _each_copy(rows: DataFrame, keep: Column | None = None) -> DataFrame:
     """The rows with ``_digest``, a row for each of its copies; only those ``keep`` accepts.
 
@@ -43,7 +48,7 @@ def _each_copy(rows: DataFrame, keep: Column | None = None) -> DataFrame:
     """
     columns = rows.columns
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    base = F.concat_ws("|", *[_text(rows, c) for c in columns])
+    base = row_text(rows)
     last = F.floor((F.col("_n") - 1) / COPIES_AT_ONCE)
     blocks = counted.withColumn("_base", base).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     first = F.col("_block") * COPIES_AT_ONCE

@@ -89,7 +89,7 @@ def slice_kpis_cube(cube: DataFrame) -> DataFrame:
     )
 
 
-def _covering_selections(cell: Column) -> Column:
+def covering_selections(cell: Column | DataFrame) -> Column:
     """All selections that a cell belongs to: each dimension either filtered or not."""
     picks = []
     for mask in range(2 ** len(SLICE_DIMS)):
@@ -118,7 +118,7 @@ def slice_unique_users(posts: DataFrame) -> DataFrame:
         .select(F.sort_array("cells").alias("cells"))
         .groupBy("cells").agg(F.count(F.lit(1)).alias("n"))
     )
-    covered = F.array_distinct(F.flatten(F.transform("cells", _covering_selections)))
+    covered = F.array_distinct(F.flatten(F.transform("cells", covering_selections)))
     return (
         sets.select("n", F.explode(covered).alias("s")).select("n", "s.*")
         .groupBy(*SLICE_DIMS, *[f"all_{d}" for d in SLICE_DIMS])

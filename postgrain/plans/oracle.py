@@ -301,6 +301,51 @@ SELECT 'posts' AS data_source, n AS inserted_users, m AS bit_array_size, k AS ha
 FROM tally, params"""
 
 
+# Names per block at the target rate; a block has 8 words of 64 bits.
+BLOCKED = f"""{USERS},
+sized AS (SELECT count(*) AS n, greatest(1, CAST(ceil(count(*) / 50.69654412154757::DOUBLE) AS BIGINT)) AS blocks FROM users),
+params AS (SELECT n, blocks, blocks * 512 AS m, 8 AS k FROM sized),{_wide_hashes('user_hashes', 'users')},
+user_bits AS (SELECT DISTINCT h1 % blocks AS block, lane, (h2 >> (6 * lane)) & 63 AS place
+  FROM user_hashes, params, range(0, 8) t(lane))"""
+BLOCKED_RATE = """(SELECT round(sum(exp(j * ln(n::DOUBLE / blocks) - n::DOUBLE / blocks - lgamma(j + 1))
+  * pow(1 - pow(63.0::DOUBLE / 64, j), 8)), 6) FROM range(1, 400) t(j))"""
+BLOCKED_LOOKUP = """
+looked_up AS (SELECT username, bool_and(b.place IS NOT NULL) AS bloom_hit
+  FROM (SELECT username, h1 % blocks AS block, lane, (h2 >> (6 * lane)) & 63 AS place
+        FROM probe_hashes, params, range(0, 8) t(lane)) p LEFT JOIN user_bits b USING (block, lane, place) GROUP BY username)"""
+BUILDERS = f"(SELECT {NORMALIZED} FROM (SELECT c_name AS username FROM customer WHERE c_mktsegment = 'BUILDING'))"
+
+
+def _blocked_words() -> str:
+    words = ", ".join(
+        f"""coalesce(bit_or(CASE WHEN lane = {i} THEN CASE WHEN place = 63 THEN (-9223372036854775808)::BIGINT
+  ELSE 1::BIGINT << CAST(place AS INT) END END), 0) AS w{i}""" for i in range(8)
+    )
+    return f"WITH {BLOCKED} SELECT block, {words} FROM user_bits GROUP BY block"
+
+
+def _blocked_evaluation() -> str:
+    plain = _evaluation("blocked-1")
+    tally = plain[plain.index("tally AS"):plain.index("SELECT 'posts'")]
+    rates = plain[plain.index("round(false_positives"):plain.index("FROM tally")]
+    return f"""WITH {BLOCKED},{PROBE_SET},{_wide_hashes('probe_hashes', '(SELECT DISTINCT username FROM probe_set)')},{BLOCKED_LOOKUP},
+{tally}SELECT 'posts' AS data_source, n AS inserted_users, m AS bit_array_size, k AS hash_functions, 'blocked-1' AS hash_version,
+  0.01::DOUBLE AS false_positive_target, {BLOCKED_RATE} AS theoretical_fpr, tally.*, {rates} FROM tally, params"""
+
+
+def _cell_sample() -> str:
+    columns = ["sid", "date", "username", *SAMPLE_COLUMNS]
+    text = ", ".join(
+        f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)" if c in _FRACTIONS else f"CAST({c} AS VARCHAR)" for c in columns
+    )
+    names = ", ".join(columns)
+    return f"""WITH {POSTS},
+numbered AS (SELECT *, md5(concat_ws('|', md5(concat_ws('|', {text})), CAST(copy - 1 AS VARCHAR))) AS digest
+  FROM (SELECT {names}, row_number() OVER (PARTITION BY {names}) AS copy FROM posts)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {DIMS} ORDER BY digest) AS place, count(*) OVER (PARTITION BY {DIMS}) AS posts FROM numbered)
+SELECT {_shown(columns)}, digest, round(posts / least(posts, 50), 6) AS weight FROM ranked WHERE place <= 50"""
+
+
 def _top(measures: str, by: str) -> str:
     return f"""WITH {POSTS}
 SELECT username, {measures}, count(*) AS post_count FROM posts GROUP BY username
@@ -537,4 +582,25 @@ SELECT count(*) FILTER ({TYPE_1} AND {BUSINESS} AND {STANDARD}) AS matching_rows
   count(*) AS all_rows FROM posts""",
     "explorer_by_type": f"""WITH {POSTS}
 SELECT post_type_label, count(*) AS posts FROM posts WHERE {BUSINESS} GROUP BY post_type_label""",
+    "bloom_blocked_params": f"""WITH {BLOCKED}
+SELECT n, blocks, m, k, 0.01::DOUBLE AS false_positive_target, {BLOCKED_RATE} AS theoretical_fpr, 'blocked-1' AS hash_version FROM params""",
+    "bloom_blocked_build": _blocked_words(),
+    "bloom_blocked_membership": f"""WITH {BLOCKED},{PROBES},{_wide_hashes('probe_hashes', 'probes')},{BLOCKED_LOOKUP}
+SELECT username, CASE WHEN bloom_hit THEN 'POSSIBLY PRESENT' ELSE 'DEFINITELY ABSENT' END AS bloom_verdict FROM looked_up""",
+    "bloom_blocked_evaluation": _blocked_evaluation(),
+    "bloom_semi_join": f"""WITH {POSTS_RAW}
+SELECT sid, date, {NORMALIZED} AS username FROM posts_raw WHERE {NORMALIZED} IN {BUILDERS}""",
+    "bloom_anti_join": f"""WITH {POSTS_RAW}
+SELECT sid, date, {NORMALIZED} AS username FROM posts_raw WHERE NOT coalesce({NORMALIZED} IN {BUILDERS}, false)""",
+    "stored_top_users_all": _slice_top_users("true"),
+    "stored_top_users_one_filter": _slice_top_users(f"NOT {BUSINESS}"),
+    "stored_top_users": _slice_top_users(f"{TYPE_1} AND {BUSINESS} AND {STANDARD}"),
+    "approximate_unique_users": f"""WITH {POSTS}
+SELECT {DIMS}, {ALL_FLAGS}, count(DISTINCT username) AS unique_users, true AS users_within
+FROM posts GROUP BY CUBE ({DIMS})""",
+    "approximate_slice_medians": f"""WITH {POSTS}
+SELECT {DIMS}, {ALL_FLAGS}, 'likes' AS measure, count(likes) AS n, true AS median_within FROM posts GROUP BY CUBE ({DIMS})
+UNION ALL SELECT {DIMS}, {ALL_FLAGS}, 'comments', count(comments), true FROM posts GROUP BY CUBE ({DIMS})""",
+    "cell_sample": _cell_sample(),
 }
+ORACLE_SQL["bloom_reduced_membership"] = ORACLE_SQL["exact_membership"]

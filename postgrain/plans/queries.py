@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from postgrain import functions as fx
 from postgrain.operators import (
-    bloom, charts, cleaning, explorer, profile, rollups, sampling, slices, topk,
+    blocked_bloom, bloom, cell_sample, charts, cleaning, explorer, profile, rollups, sampling, sketches, slices, topk, userlists,
 )
 from postgrain.plans.standin import legacy_raw, posts_raw, table
+from postgrain.schema import SAMPLE_OPTIONAL, SAMPLE_REQUIRED, SLICE_DIMS
 from postgrain.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,8 @@ PAGE, PAGE_SIZE = 1, 100
 SEARCH = {"username": "customer#00000000", "date": "1996"}
 EXPLORER_ROWS = 10_000
 APPROXIMATE = 10_000
+CELL_ROWS = 50
+CELL_COLUMNS = ["sid", "date", "username", *SAMPLE_REQUIRED, *SAMPLE_OPTIONAL]
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -191,6 +194,90 @@ def _bloom_evaluation(version: str) -> Query:
     return query
 
 
+def _stored_top_users(selection: slices.Selection) -> Query:
+    """From stored lists of totals; the posts are read once, to write these."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = sinks.shared_folder(spark, "user-lists")
+        userlists.save_lists(_posts(spark, sf_dir), path)
+        return comparable(userlists.top_users(*userlists.load_lists(spark, path), selection))
+    return query
+
+
+def _blocked_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    users = _bloom_users(spark, sf_dir)
+    sizes = blocked_bloom.params(users)
+    return users, sizes, blocked_bloom.build(users, sizes)
+
+
+def _blocked_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, sizes, blocks = _blocked_tables(spark, sf_dir)
+    return blocked_bloom.membership_verdicts(_probes(spark, sf_dir), blocks, sizes)
+
+
+def _blocked_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users, sizes, blocks = _blocked_tables(spark, sf_dir)
+    return comparable(blocked_bloom.evaluation(sizes, blocks, bloom.bloom_probe_set(users), "posts"))
+
+
+def _reduced_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocked_bloom.membership(_probes(spark, sf_dir), _bloom_users(spark, sf_dir))
+
+
+def _builders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User names of the customers of one market segment."""
+    customers = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    return bloom.distinct_users(customers, "c_name")
+
+
+def _reduced_join(join: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Raw posts by, or not by, those users."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        posts = posts_raw(spark, sf_dir).select("sid", "date", fx.normalize_username(F.col("username")).alias("username"))
+        return join(posts, _builders(spark, sf_dir))
+    return query
+
+
+def _approximate_unique_users(posts: DataFrame) -> DataFrame:
+    """The exact distinct users of every selection, and whether the merged sketches come within five standard errors of them."""
+    exact = slices.slice_unique_users(posts)
+    keys = [*SLICE_DIMS, *[f"all_{d}" for d in SLICE_DIMS]]
+    about = sketches.slice_estimates_cube(sketches.cell_sketches(posts)).select(
+        *[F.col(c).alias(f"_{c}") for c in keys], F.col("unique_users").alias("estimate")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    off = F.abs(F.col("estimate") - F.col("unique_users"))
+    within = off <= 5 * sketches.USER_ERROR * F.col("unique_users") + 1
+    return exact.join(about, same).select(*keys, "unique_users", within.alias("users_within"))
+
+
+def _approximate_slice_medians(posts: DataFrame) -> DataFrame:
+    """For every selection the values of each measure, and whether the rank of the merged sketches' median errs by no more than it may.
+
+    Posts are counted by cell and value first; only these counts are repeated for the selections that cover a cell.
+    """
+    keys = [*SLICE_DIMS, *[f"all_{d}" for d in SLICE_DIMS]]
+    about = sketches.slice_estimates_cube(sketches.cell_sketches(posts))
+    out = None
+    for m in sketches.MEASURES:
+        middle = about.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col(f"median_{m}").alias("middle"))
+        counts = posts.groupBy(*SLICE_DIMS, m).agg(F.count(F.lit(1)).alias("posts"))
+        each = counts.select(m, "posts", F.explode(slices.covering_selections(counts)).alias("s")).select(m, "posts", "s.*")
+        tied = each.join(middle, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+        some = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("posts"))), F.lit(0))
+        tally = tied.groupBy(*keys).agg(
+            some(F.col(m).isNotNull()).alias("n"), some(F.col(m) < F.col("middle")).alias("below"), some(F.col(m) <= F.col("middle")).alias("upto"),
+        )
+        slack = 2 * sketches.RANK_ERROR * F.col("n") + 1
+        within = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)
+        part = tally.select(*keys, F.lit(m).alias("measure"), "n", within.alias("median_within"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _cell_sample(posts: DataFrame) -> DataFrame:
+    return cell_sample.cell_sample(posts, CELL_COLUMNS, CELL_ROWS)
+
+
 QUERIES: dict[str, Query] = {
     # Scans
     "posts_scan": _over_raw(lambda raw: raw),
@@ -258,6 +345,13 @@ QUERIES: dict[str, Query] = {
     "bloom_evaluation": _bloom_evaluation(bloom.HASH_VERSION),
     "bloom_evaluation_wide": _bloom_evaluation(bloom.WIDE_HASH_VERSION),
     "bloom_stored": _bloom_round_trip,
+    "bloom_blocked_params": lambda spark, sf: comparable(blocked_bloom.params(_bloom_users(spark, sf))),
+    "bloom_blocked_build": lambda spark, sf: _blocked_tables(spark, sf)[2],
+    "bloom_blocked_membership": _blocked_membership,
+    "bloom_blocked_evaluation": _blocked_evaluation,
+    "bloom_reduced_membership": _reduced_membership,
+    "bloom_semi_join": _reduced_join(blocked_bloom.semi_join),
+    "bloom_anti_join": _reduced_join(blocked_bloom.anti_join),
     # Chart data
     "chart_posts_by_type": _over_posts(
         lambda p: charts.posts_by_type(rollups.content_analysis(p))
@@ -298,6 +392,12 @@ QUERIES: dict[str, Query] = {
     ),
     "slice_top_users_all": _over_posts(lambda p: slices.slice_top_users(p, {})),
     "slice_top_users_one_filter": _over_posts(lambda p: slices.slice_top_users(p, ONE_FILTER)),
+    "stored_top_users": _stored_top_users(SELECTION),
+    "stored_top_users_all": _stored_top_users({}),
+    "stored_top_users_one_filter": _stored_top_users(ONE_FILTER),
+    "approximate_unique_users": _over_posts(_approximate_unique_users),
+    "approximate_slice_medians": _over_posts(_approximate_slice_medians),
+    "cell_sample": _over_posts(_cell_sample),
     # Explorer
     "explorer_page": _over_posts(
         lambda p: explorer.explorer_page(p, SELECTION, page=PAGE, size=PAGE_SIZE)
