@@ -90,27 +90,35 @@ def dedup_posts(df: DataFrame) -> DataFrame:
     return keep_first(df, "sid", [earliest])
 
 
-def clean_posts(raw: DataFrame, dedup: bool = False) -> DataFrame:
-    """The whole primary cleaner.
-
-    De-duplication runs on the source columns, before the derived ones are added, so
-    that the shuffle carries only what was read.
-    """
-    df = (
+def usable_posts(raw: DataFrame) -> DataFrame:
+    """Posts with a user name, names and metrics in order; source columns alone."""
+    return (
         raw.transform(with_normalized_user)
         .transform(drop_unusable_users)
         .transform(with_metric_doubles, POST_METRICS)
     )
-    if dedup:
-        df = df.transform(dedup_posts)
+
+
+def with_derived_columns(usable: DataFrame) -> DataFrame:
+    """What the primary cleaner adds to usable posts."""
     return (
-        df.transform(with_engagement)
+        usable.transform(with_engagement)
         .transform(with_date_parts, fx.parse_post_timestamp(F.col("date")))
         .transform(with_post_type_label)
         .transform(with_empty_text)
     )
 
 
+def clean_posts(raw: DataFrame, dedup: bool = False) -> DataFrame:
+    """The whole primary cleaner.
+
+    De-duplication runs on the source columns, before the derived ones are added, so
+    that the shuffle carries only what was read.
+    """
+    df = usable_posts(raw)
+    return with_derived_columns(dedup_posts(df) if dedup else df)
+
+
 def clean_legacy(raw: DataFrame, dedup: bool = True) -> DataFrame:
     """The whole legacy cleaner. Each step applies where its columns exist."""
     df = raw.transform(with_ids_as_text)

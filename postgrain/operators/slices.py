@@ -39,8 +39,8 @@ def select_slice(df: DataFrame, selection: Selection, except_dim: str | None = N
     return df.filter(in_slice(df, selection, except_dim))
 
 
-def filter_cube(posts: DataFrame) -> DataFrame:
-    """Counts and sums per (type, business, category): a few dozen rows.
+def filter_cube(posts: DataFrame, *also: str) -> DataFrame:
+    """Counts and sums per (type, business, category), and per columns ``also``: a few dozen rows.
 
     Each sum comes with the number of values in it, so that an average over any
     selection skips missing values just as an average over the posts does.
@@ -50,11 +50,16 @@ def filter_cube(posts: DataFrame) -> DataFrame:
         for name, col in SUMMED.items() if col in posts.columns
         for prefix, fn in (("sum", F.sum), ("cnt", F.count))
     ]
-    return posts.groupBy("post_type", *SLICE_DIMS).agg(
+    return posts.groupBy(*also, "post_type", *SLICE_DIMS).agg(
         F.count(F.lit(1)).alias("post_count"), *measures
     )
 
 
+def merged_cube(parts: DataFrame) -> DataFrame:
+    """One cube from the rows of cubes of parts of the posts."""
+    return parts.groupBy("post_type", *SLICE_DIMS).agg(*_merged(parts))
+
+
 def _merged(cube: DataFrame) -> list[Column]:
     """Re-summed measures of cube rows, for ``agg``."""
     sums = [c for c in cube.columns if c.startswith(("sum_", "cnt_"))]

@@ -370,6 +370,17 @@ def _calendar(part: str, name: str, *metrics: str) -> str:
 SELECT {part} AS {name}, count(*) AS post_count, {_avg(*metrics)} FROM posts GROUP BY {part}"""
 
 
+def _legacy_calendar(part: str, name: str, *metrics: str) -> str:
+    return f"""WITH {LEGACY}
+SELECT {part} AS {name}, count(*) AS post_count, {_avg(*metrics)} FROM legacy GROUP BY 1"""
+
+
+def _legacy_top(measure: str, by: str) -> str:
+    return f"""WITH {LEGACY}
+SELECT user_posted AS username, {measure}count(*) AS post_count FROM legacy GROUP BY user_posted
+ORDER BY {by} DESC NULLS LAST, user_posted LIMIT 15"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "posts_scan": f"WITH {POSTS_RAW} SELECT * FROM posts_raw",
     "legacy_csv_scan": f"WITH {LEGACY_RAW} SELECT * FROM legacy_raw",
@@ -603,4 +614,27 @@ SELECT {DIMS}, {ALL_FLAGS}, 'likes' AS measure, count(likes) AS n, true AS media
 UNION ALL SELECT {DIMS}, {ALL_FLAGS}, 'comments', count(comments), true FROM posts GROUP BY CUBE ({DIMS})""",
     "cell_sample": _cell_sample(),
 }
+ORACLE_SQL |= {
+    "seek_page": ORACLE_SQL["explorer_page"],
+    "seek_page_deep": f"""WITH {POSTS}
+SELECT {_shown(PAGE_COLUMNS)} FROM (SELECT * FROM posts ORDER BY sid, {_ascending(PAGE_COLUMNS)} LIMIT 100 OFFSET 4000)""",
+    "indexed_search": ORACLE_SQL["explorer_search"],
+    "opened_view": f"WITH {POSTS_RAW} SELECT lang, count(*) AS post_count, 'primary' AS source FROM posts_raw GROUP BY lang",
+    "opened_fallback": f"WITH {LEGACY_RAW} SELECT content_type, count(*) AS post_count, 'fallback' AS source FROM legacy_raw GROUP BY content_type",
+    "legacy_top_users_by_posts": _legacy_top("", "post_count"),
+    "legacy_top_users_by_likes": _legacy_top("round(sum(likes), 6) AS total_likes, ", "total_likes"),
+    "legacy_temporal_year": _legacy_calendar("year(post_date)", "year", "likes", "engagement"),
+    "legacy_temporal_month": _legacy_calendar("month(post_date)", "month", "engagement"),
+    "legacy_temporal_weekday": _legacy_calendar("dayofweek(post_date) + 1", "weekday", "engagement"),
+    "refreshed_posts": ORACLE_SQL["posts_clean"],
+    "refreshed_cube": f"""WITH {POSTS_RAW},{USABLE},
+survivors AS (SELECT * FROM usable QUALIFY {SURVIVOR} = 1),{_derived('posts', 'survivors')}
+SELECT post_type, {DIMS}, count(*) AS post_count, {CUBE_SUMS} FROM posts GROUP BY post_type, {DIMS}""",
+    "refreshed_top_users": f"""WITH {POSTS_RAW},{USABLE},
+survivors AS (SELECT * FROM usable QUALIFY {SURVIVOR} = 1),{_derived('posts', 'survivors')}
+SELECT username, sum(engagement) AS total_engagement, round(avg(engagement), 6) AS avg_engagement, count(*) AS post_count
+FROM posts WHERE NOT {BUSINESS} GROUP BY username ORDER BY sum(engagement) DESC, username LIMIT 15""",
+    "stream_daily_events": """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type AS kind, count(*) AS posts,
+  round(sum(value), 6) AS total, count(value) AS values FROM events GROUP BY 1, 2""",
+}
 ORACLE_SQL["bloom_reduced_membership"] = ORACLE_SQL["exact_membership"]

@@ -14,11 +14,13 @@ from pyspark.sql import types as T
 
 from postgrain import functions as fx
 from postgrain.operators import (
-    blocked_bloom, bloom, cell_sample, charts, cleaning, explorer, profile, rollups, sampling, sketches, slices, topk, userlists,
+    blocked_bloom, bloom, cell_sample, charts, cleaning, explorer, page_index, profile, rollups, sampling, sketches, slices, topk, userlists,
 )
+from postgrain.plans import refresh
 from postgrain.plans.standin import legacy_raw, posts_raw, table
 from postgrain.schema import SAMPLE_OPTIONAL, SAMPLE_REQUIRED, SLICE_DIMS
 from postgrain.sources import readers, sinks
+from postgrain.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +32,7 @@ SELECTION = {
 }
 ONE_FILTER = {"is_business_account": False}
 PAGE, PAGE_SIZE = 1, 100
+DEEP_PAGE = 40
 SEARCH = {"username": "customer#00000000", "date": "1996"}
 EXPLORER_ROWS = 10_000
 APPROXIMATE = 10_000
@@ -278,6 +281,62 @@ def _cell_sample(posts: DataFrame) -> DataFrame:
     return cell_sample.cell_sample(posts, CELL_COLUMNS, CELL_ROWS)
 
 
+def _stored_pages(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
+    path = sinks.shared_folder(spark, "pages")
+    page_index.save_pages(sinks.stored(_posts(spark, sf_dir), f"{path}/posts"), path)
+    return path, *page_index.load_pages(spark, path)
+
+
+def _seek_page(selection: slices.Selection, page: int) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, pages, index = _stored_pages(spark, sf_dir)
+        return comparable(page_index.seek_page(pages, index, selection, page, PAGE_SIZE))
+    return query
+
+
+def _indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pages, _ = _stored_pages(spark, sf_dir)
+    page_index.save_search(pages, path, list(SEARCH))
+    found = page_index.search_pages(pages, page_index.load_search(spark, path), {}, SEARCH, 0, PAGE_SIZE)
+    return comparable(found)
+
+
+def _refreshed(build: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """From a store that got the posts in two batches, cut by date; ids recur in both."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store, raw = sinks.shared_folder(spark, "store"), posts_raw(spark, sf_dir)
+        early = F.coalesce(F.col("date") < "1995-01-01", F.lit(False))
+        for batch in (raw.filter(early), raw.filter(~early)):
+            refresh.apply_batch(spark, store, batch)
+        return comparable(build(spark, store))
+    return query
+
+
+def _stream_daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a stream, worked off and stopped."""
+    path = sinks.shared_folder(spark, "daily")
+    events = daily.read_events(spark, f"{sf_dir}/events.parquet*", table(spark, sf_dir, "events").schema)
+    daily.run_available(daily.daily(events, "ts", "event_type", "value"), f"{path}/days", f"{path}/checkpoint")
+    return comparable(daily.latest(spark, f"{path}/days"))
+
+
+def _opened_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw posts opened by source choice and read by SQL."""
+    path = sinks.shared_folder(spark, "opened")
+    sinks.stored(posts_raw(spark, sf_dir), path)
+    source, posts = readers.open_posts(spark, path, f"{path}-none")
+    readers.register_views(posts, "opened_posts")
+    return spark.sql("SELECT lang, count(*) AS post_count FROM opened_posts GROUP BY lang").withColumn("source", F.lit(source))
+
+
+def _opened_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.shared_folder(spark, "opened")
+    sinks.write_csv(legacy_raw(spark, sf_dir), path)
+    source, posts = readers.open_posts(spark, f"{path}-none", path)
+    readers.register_views(posts, "opened_legacy")
+    return spark.sql("SELECT content_type, count(*) AS post_count FROM opened_legacy GROUP BY content_type").withColumn("source", F.lit(source))
+
+
 QUERIES: dict[str, Query] = {
     # Scans
     "posts_scan": _over_raw(lambda raw: raw),
@@ -409,4 +468,21 @@ QUERIES: dict[str, Query] = {
     "explorer_by_type": _over_posts(
         lambda p: explorer.explorer_by_type(p, {"is_business_account": True})
     ),
+    "seek_page": _seek_page(SELECTION, PAGE),
+    "seek_page_deep": _seek_page({}, DEEP_PAGE),
+    "indexed_search": _indexed_search,
+    # Sources
+    "opened_view": _opened_view,
+    "opened_fallback": _opened_fallback,
+    # Legacy posts through the remaining reports
+    "legacy_top_users_by_posts": _over_canonical(topk.top_users_by_posts),
+    "legacy_top_users_by_likes": _over_canonical(topk.top_users_by_likes),
+    "legacy_temporal_year": _over_canonical(rollups.temporal_year),
+    "legacy_temporal_month": _over_canonical(rollups.temporal_month),
+    "legacy_temporal_weekday": _over_canonical(rollups.temporal_weekday),
+    # Refresh and stream
+    "refreshed_posts": _refreshed(refresh.clean_posts),
+    "refreshed_cube": _refreshed(refresh.filter_cube),
+    "refreshed_top_users": _refreshed(lambda spark, store: refresh.top_users(spark, store, ONE_FILTER)),
+    "stream_daily_events": _stream_daily_events,
 }
