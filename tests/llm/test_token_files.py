@@ -16,7 +16,6 @@ from tests.llm.data import documents, odd_rows, with_clashes
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ENCODER = Encoder(PATH)
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 
 
 def plain(text):
