@@ -74,42 +74,56 @@ def _rounded(items: str, unit: str) -> str:
               {held('a', 'greatest(a.p - m.down / a.w, 0.0D)', with_('x', '1L'))})))[0]))"""
 
 
-def mix(documents: DataFrame, *, key: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """One row per document: key, source, size, source_size, target, copies, taken.
+def planned(documents: DataFrame, *, key: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
+    """One row for equal rows (same key, source and size): key, source, size, rows, source_size, target, whole, extras.
 
-    ``copies`` is how often the mix takes the document, ``taken`` the words that makes. Repeated rows (same key, source and size) are
-    rounded as one and get the same copies. NULL text has size 0 and no copy; so has a source without words, whose
-    target is 0. NULL keys and sources are values like others. Only key, text and source are read; an empty table gives an empty result.
+    Each row is taken ``whole`` times and ``extras`` of the rows once more. Of the extras of equal rows all but a fraction of one is certain, so that
+    only the fraction is rounded, with the words of one row.
     """
     sized = documents.select(F.col(key).alias("key"), F.col("source"), word_count(F.col("text")).alias("size"))
     units = stored(sized.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-units")
     targets = stored(source_targets(units, weights), "mix-targets")
     of = targets.select(F.col("source").alias("of"), "source_size", "target")
     copies = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    each = F.when(F.col("whole") < MOST_COPIES, copies - F.col("whole")).otherwise(0.0)
     shares = (
         units.join(of, units["source"].eqNullSafe(of["of"])).drop("of")
         .withColumn("whole", F.floor(copies))
-        .withColumn("p", F.when(F.col("whole") < MOST_COPIES, copies - F.col("whole")).otherwise(0.0))
+        .withColumn("certain", F.floor(each * F.col("rows")))
+        .withColumn("p", each * F.col("rows") - F.col("certain"))
         .withColumn("u", F.struct("key", "size"))
     )
     extra = _round(shares.where(F.col("p") > 0), block)
     e = extra.select(F.col("source").alias("e_source"), "u.key", "u.size", "extra").withColumnsRenamed({"key": "e_key", "size": "e_size"})
     same = shares["key"].eqNullSafe(e["e_key"]) & shares["source"].eqNullSafe(e["e_source"]) & (shares["size"] == e["e_size"])
-    counted = shares.join(e, same, "left").withColumn("copies", F.col("whole") + F.coalesce("extra", F.lit(0)))
+    extras = (F.col("certain") + F.coalesce("extra", F.lit(0))).alias("extras")
+    return shares.join(e, same, "left").select("key", "source", "size", "rows", "source_size", "target", "whole", extras)
+
+
+def mix(documents: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
+    """One row per document: key, source, size, source_size, target, copies, taken.
+
+    ``copies`` is how often the mix takes the document, ``taken`` the words that makes. Repeated rows (same key, source and size) are
+    taken row by row. NULL text has size 0 and no copy; so has a source without words, whose
+    target is 0. NULL keys and sources are values like others. Only key, text and source are read; an empty table gives an empty result.
+    """
+    counted = planned(documents, key=key, **options)
     # As many rows as came in, in two steps, since one array for a document that fills the table could be too long.
     many = counted.withColumn("thousand", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(rows - 1) div 1000"))))
     each = many.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000), F.col("rows") - 1000 * F.col("thousand")))))
+    one_more = (F.col("thousand") * 1000 + F.col("one") <= F.col("extras")).cast("long")
+    each = each.withColumn("copies", F.col("whole") + one_more)
     return each.select(
         F.col("key").alias(key), "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
 def _round(shares: DataFrame, block: int) -> DataFrame:
-    """source, u, extra (0 or 1) for units (source, u, p, size, rows) with a fraction p, level after level."""
+    """source, u, extra (0 or 1) for units (source, u, p, size) with a fraction p, level after level."""
     bits = max(0, math.ceil(math.log2(max(1, shares.count()) / block)))
     unit = shares.schema["u"].dataType.simpleString()
     level = shares.select(
-        "source", "u", F.xxhash64("u", "source").alias("h"), F.col("p"), (F.col("size") * F.col("rows")).cast("double").alias("w")
+        "source", "u", F.xxhash64("u", "source").alias("h"), F.col("p"), F.col("size").cast("double").alias("w")
     )
     step = max(1, int(math.log2(block)))
     decided = None
@@ -128,11 +142,31 @@ def _round(shares: DataFrame, block: int) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The documents with each row as often as the mix takes it, with the columns they came with."""
+    """The documents with each row as often as the mix takes it, with the columns they came with.
+
+    Equal rows that are not all taken alike are numbered within the parts that they are read in, and parts by how many came before, so that a document
+    that fills the table is numbered by many tasks. ``documents`` should be stored files, which are read in the same parts again.
+    """
     own = documents.columns
-    sized = documents.withColumn("__size", word_count(F.col("text")))
-    plan = mix(documents, **options).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("__copies"))
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), "__copies")
+    at = F.monotonically_increasing_id()
+    sized = documents.withColumn("__size", word_count(F.col("text"))).withColumn("__at", at).withColumn("__part", F.shiftright("__at", 33))
+    names = {"key": "__id", "source": "__source", "size": "__n", "rows": "__rows", "whole": "__whole", "extras": "__extras"}
+    plan = planned(documents, **options).select(*[F.col(c).alias(n) for c, n in names.items()])
     same = sized["doc_id"].eqNullSafe(plan["__id"]) & sized["source"].eqNullSafe(plan["__source"]) & (sized["__size"] == plan["__n"])
-    kept = sized.join(plan, same).where(F.col("__copies") > 0)
+    rows = sized.join(plan, same)
+    uneven = (F.col("__extras") > 0) & (F.col("__extras") < F.col("__rows"))
+    even = rows.where(~uneven).withColumn("__copies", F.col("__whole") + (F.col("__extras") > 0).cast("long"))
+    unit = ["__id", "__source", "__n"]
+    some = rows.where(uneven).withColumn("__i", F.row_number().over(Window.partitionBy(*unit, "__part").orderBy("__at")))
+    before = Window.partitionBy(*unit).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sized.join(plan.where(uneven), same).groupBy(*unit, "__part").agg(F.count(F.lit(1)).alias("__in"))
+    parts = parts.select(
+        *[F.col(c).alias(f"{c}_") for c in (*unit, "__part")], F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__before")
+    )
+    there = (some["__part"] == parts["__part_"]) & (some["__n"] == parts["__n_"])
+    there = there & some["__id"].eqNullSafe(parts["__id_"]) & some["__source"].eqNullSafe(parts["__source_"])
+    one_more = (F.col("__before") + F.col("__i") <= F.col("__extras")).cast("long")
+    odd = some.join(parts, there).withColumn("__copies", F.col("__whole") + one_more)
+    kept = even.select(*[F.col(f"`{c}`") for c in own], "__copies").unionByName(odd.select(*[F.col(f"`{c}`") for c in own], "__copies"))
+    kept = kept.where(F.col("__copies") > 0)
     return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in own])
