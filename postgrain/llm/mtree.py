@@ -34,8 +34,8 @@ from postgrain.llm.store import stored
 
 SCALE = 256
 PIVOTS = 1024
-PART = 4096
-PAGE = 64
+PART = 8192
+PAGE = 256
 # Queries that a task searches a part for.
 VISITS = 4096
 # Cells that a query visits together, nearest first, before it asks which of all others remain.
@@ -143,20 +143,26 @@ class Tree:
             a, b = self.edges[page], self.edges[page + 1]
             near = np.flatnonzero(np.abs(to_page - self.to_parent[a:b]) - self.radius[a:b] <= within) + a
             computed += len(near)
-            scores = self.points[near] @ q
+            scores = (self.points[a:b] if len(near) == b - a else self.points[near]) @ q
             if self.child[a] >= 0:
                 apart = space.reach(square, scores)
                 for e, d in zip(near.tolist(), apart.tolist(), strict=True):
                     if d - self.radius[e] <= within:
                         heappush(heap, (max(0.0, d - self.radius[e]), int(self.child[e]), d))
                 continue
+            if exact:
+                if least is None and len(near) > k:
+                    near, scores = (x[scores >= np.partition(scores, -k)[-k]] for x in (near, scores))
+                elif least is not None:
+                    near, scores = (x[scores >= least] for x in (near, scores))
             for e, score in zip(near.tolist(), scores.tolist(), strict=True):
                 score = int(score) if exact else sum(x * y for x, y in zip(self.codes[e].as_py(), codes, strict=False))
                 score = min(max(score, _LONG[0]), _LONG[1])
                 if least is None or score >= least:
                     best += [(-score, i, self.point[e]) for i in self.ids[e].as_py()]
-            best.sort()
-            del best[k:]
+            if len(near):
+                best.sort()
+                del best[k:]
             if len(best) == k and (least is None or -best[-1][0] > least):
                 least = -best[-1][0]
                 within = float(space.reach(square, float(least))) + slack
