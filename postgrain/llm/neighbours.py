@@ -5,8 +5,8 @@ no more than any other. The first graph comes from random trees: vectors sorted
 planes, and compared within runs of `LEAF`. Each round of NN-descent joins every node's neighbours and reverse neighbours with each other, as the
 nodes that have a neighbour in common, and keeps the nearest `degree` found. A query starts at its own node and expands the best `beam` nodes it knows, along links and against them, until `hops` are done.
 
-While the graph is built and walked, components travel as one byte each; the best found are scored again, by cosines of
-the original vectors in double precision.
+While the graph is built and walked, components travel in single precision and are multiplied in double, so that near-equal vectors keep their order; all that a
+walk ends with is scored again, by cosines of the original vectors.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ ROUNDS = 3
 BEAM = 112
 HOPS = 5
 SEED = 20
-# Of each query's finds, so many for each row asked for are scored on the original vectors.
-RESCORED = 6
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -54,16 +52,12 @@ def _unit(batch: pa.Array) -> np.ndarray:
 
 
 def _floats(column: pa.Array) -> np.ndarray:
-    """Unit vectors from one byte per component."""
-    codes = np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1).astype(np.float32)
-    return codes / np.maximum(np.linalg.norm(codes, axis=1, keepdims=True), 1e-9)
+    """Unit vectors as they travel."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1).astype(np.float64)
 
 
 def _rows(unit: np.ndarray) -> pa.Array:
-    if not len(unit):
-        return pa.array([], pa.binary())
-    codes = np.rint(unit * (127 / np.abs(unit).max(axis=1, keepdims=True))).astype(np.int8)
-    return pa.array([r.tobytes() for r in codes], pa.binary())
+    return pa.array([r.tobytes() for r in unit.astype(np.float32)], pa.binary())
 
 
 def _planted(nodes: DataFrame, trees: int, leaf: int, seed: int) -> DataFrame:
@@ -101,12 +95,12 @@ def _best(ids: np.ndarray, unit: np.ndarray, degree: int, worst: np.ndarray | No
     return ids[row], ids[top[keep]], got[keep]
 
 
-EDGE = "id bigint, other bigint, score float"
+EDGE = "id bigint, other bigint, score double"
 
 
 def _edges(found: list[tuple]) -> pa.RecordBatch:
     a, b, s = (np.concatenate(x) for x in zip(*found, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.float32))], names=["id", "other", "score"])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s)], names=["id", "other", "score"])
 
 
 def _in_leaves(planted: DataFrame, leaf: int, degree: int) -> DataFrame:
@@ -158,7 +152,7 @@ def _descend(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     meets = kept.select(F.col("id").alias("centre"), F.col("other").alias("id")).unionByName(
         kept.select(F.col("other").alias("centre"), "id")
     ).distinct()
-    worst = graph.groupBy("id").agg(F.when(F.count("*") >= degree, F.min("score")).otherwise(-2.0).cast("float").alias("worst"))
+    worst = graph.groupBy("id").agg(F.when(F.count("*") >= degree, F.min("score")).otherwise(-2.0).alias("worst"))
     carried = nodes.select("id", "unit").join(worst, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +201,7 @@ def _scored(pairs: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch["query"], batch["id"], pa.array(score)], names=["query", "id", "score"])
 
     asked = queries.select(F.col("id").alias("query"), F.col("unit").alias("asked"))
-    return pairs.join(nodes.select("id", "unit"), "id").join(asked, "query").mapInArrow(run, "query bigint, id bigint, score float")
+    return pairs.join(nodes.select("id", "unit"), "id").join(asked, "query").mapInArrow(run, "query bigint, id bigint, score double")
 
 
 def search_graph(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int = BEAM, hops: int = HOPS, degree: int = DEGREE) -> DataFrame:
@@ -217,7 +211,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam
     back = graph.withColumn("rank", F.row_number().over(inward)).where(F.col("rank") <= degree)
     links = graph.select("id", "other").unionByName(back.select(F.col("other").alias("id"), F.col("id").alias("other")))
     links = stored(links.distinct(), "links")
-    own = queries.select(F.col("id").alias("query"), "id", F.lit(1.0).cast("float").alias("score"))
+    own = queries.select(F.col("id").alias("query"), "id", F.lit(1.0).alias("score"))
     known, scored = stored(own.withColumn("spent", F.lit(False)), "beam"), own
     for _ in range(hops):
         ahead = known.where(~F.col("spent")).join(links, "id").select("query", F.col("other").alias("id")).distinct()
@@ -257,10 +251,8 @@ def nearest(vectors: DataFrame, is_query, *, key: str = "vec_id", vector: str =
 
 def _exact(found: DataFrame, nodes: DataFrame, asking: DataFrame, k: int) -> DataFrame:
     """The nodes found as rows, scored anew on the original vectors."""
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    near = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= RESCORED * k + 2)
     pairs = (
-        near.select(F.col("query").alias("node"), F.col("id").alias("near")).join(asking, "node")
+        found.select(F.col("query").alias("node"), F.col("id").alias("near")).join(asking, "node")
         .join(nodes.select(F.col("id").alias("near"), F.col("vec").alias("other"), "ids"), "near")
     )
 

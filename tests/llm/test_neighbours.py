@@ -67,6 +67,17 @@ def test_one_vector_fills_a_third(spark):
     assert hits >= 0.95 * 5 * len(want)
 
 
+@pytest.mark.parametrize("noise", [0.02, 0.002])
+def test_recall_in_a_cluster_of_near_equal_vectors(spark, noise):
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    vectors = (centre * (1 + noise * rng.standard_normal((2000, 64)))).astype(np.float32)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    got = by_query(nearest(spark.createDataFrame([(*r, None) for r in rows], SCHEMA), F.col("id") % 50 == 0).collect())
+    want = slow(rows, lambda i: i % 50 == 0, 5)
+    assert sum(len({x[0] for x in got[i]} & {x[0] for x in want[i]}) for i in want) >= 0.9 * 5 * len(want)
+
+
 def test_recall_on_the_table(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
