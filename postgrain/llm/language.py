@@ -61,6 +61,21 @@ def _compressors(dictionaries: list[tuple[str, bytes]]) -> list[zstandard.ZstdCo
     return made
 
 
+def _judged(text: str | None, langs: list[str], compressors: list[zstandard.ZstdCompressor], margin: float) -> tuple[str, float, bool]:
+    """lang_pred, score, rejected of one text."""
+    if not langs or text is None or not any(map(str.isalpha, text)):
+        return UNKNOWN, 0.0, True
+    raw = text.lower().encode()
+    pieces = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
+    sizes = np.array([sum(len(c.compress(p)) for p in pieces) for c in compressors])
+    best = int(sizes.argmin())
+    if len(sizes) == 1:
+        return langs[0], 1.0, False
+    second = int(np.delete(sizes, best).min())
+    score = (second - int(sizes[best])) / second
+    return langs[best], score, score < margin
+
+
 def identify(documents: DataFrame, dictionaries: list[tuple[str, bytes]], *, margin: float = MARGIN) -> DataFrame:
     """All columns of ``documents`` and a struct ``language``: lang_pred, score, rejected.
 
@@ -72,23 +87,10 @@ def identify(documents: DataFrame, dictionaries: list[tuple[str, bytes]], *, mar
     result = "struct<lang_pred:string,score:double,rejected:boolean>"
     arrow = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
-    def one(text: str | None, compressors: list[zstandard.ZstdCompressor]) -> tuple[str, float, bool]:
-        if not langs or text is None or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0, True
-        raw = text.lower().encode()
-        pieces = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
-        sizes = np.array([sum(len(c.compress(p)) for p in pieces) for c in compressors])
-        best = int(sizes.argmin())
-        if len(sizes) == 1:
-            return langs[0], 1.0, False
-        second = int(np.delete(sizes, best).min())
-        score = (second - int(sizes[best])) / second
-        return langs[best], score, score < margin
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = _compressors(dictionaries)
         for batch in batches:
-            found = [one(t.as_py(), compressors) for t in batch["text"]]
+            found = [_judged(t.as_py(), langs, compressors, margin) for t in batch["text"]]
             column = pa.array([dict(zip(("lang_pred", "score", "rejected"), x, strict=True)) for x in found], arrow)
             kept = [n for n in batch.schema.names if n != "language"]
             yield pa.RecordBatch.from_arrays([batch[n] for n in kept] + [column], names=[*kept, "language"])
@@ -98,10 +100,15 @@ def identify(documents: DataFrame, dictionaries: list[tuple[str, bytes]], *, mar
     return own.mapInArrow(run, f"{fields}, language {result}")
 
 
-def accepted(documents: DataFrame, dictionaries: list[tuple[str, bytes]], **options) -> DataFrame:
+def accepted(documents: DataFrame, dictionaries: list[tuple[str, bytes]], *, margin: float = MARGIN) -> DataFrame:
     """The documents that are not rejected, with their columns. When nothing was learned, those with a letter all stay."""
     if not dictionaries:
         return documents.where(F.col("text").rlike(r"\p{L}"))
-    judged = documents.withColumn("__own", F.struct(*[F.col(f"`{c}`") for c in documents.columns])).select("__own", F.col("text"))
-    kept = identify(judged, dictionaries, **options).where(~F.col("language.rejected"))
-    return kept.select(*[F.col(f"__own.`{c}`").alias(c) for c in documents.columns])
+    langs = [lang for lang, _ in dictionaries]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = _compressors(dictionaries)
+        for batch in batches:
+            yield batch.filter(pa.array([not _judged(t.as_py(), langs, compressors, margin)[2] for t in batch["text"]], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
