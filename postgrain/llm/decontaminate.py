@@ -7,8 +7,8 @@ the item can. None is passed over for where these places stand.
 
 Each window gets a 64-bit SimHash of its weighted shingles, as each item does. Fingerprints within `radius` bits of an item's
 agree with it, in at least one of `blocks` blocks of bits, up to radius // blocks of them. Items are therefore indexed by all
-block values within that distance, and a window fetches the items of its own size that share a block; none within the
-radius is missed. Candidates within the radius are verified on their shingles.
+block values within that distance, and a window, which is tried for the items that share enough with it, fetches those of them that share a block; none
+within the radius is missed. Candidates within the radius are verified on their shingles. Texts with windows are cut into shingles once.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ SIMILARITY = 0.75
 # At a similarity of 0.75 fingerprints differ in 11 bits on average, with a standard deviation of 3: this leaves four of those.
 RADIUS = 23
 BLOCKS = 8
+# Keys of 32 characters that are sent to all tasks at most.
+SENT_KEYS = 500_000
 
 
 def word_list(text: Column) -> Column:
@@ -39,16 +41,29 @@ def shingle_hashes(words: str, k: int) -> Column:
     )
 
 
+# Shingles that 16-bit counters in one long can count.
+_COUNTED = 32767
+
+
 def simhash(hashes: str) -> Column:
-    """Bit b is set where shingles with that bit outweigh those without; repeated shingles count each time."""
-    ones = f"size(filter({hashes}, h -> (shiftright(h, b) & 1L) = 1L))"
-    return F.expr(f"aggregate(sequence(0, 63), 0L, (f, b) -> f | shiftleft(cast(2 * {ones} > size({hashes}) as bigint), b))")
+    """Bit b is set where shingles with that bit outweigh those without; repeated shingles count each time.
+
+    Sixteen sums count four bits each, 16 bits apart; more shingles than these can count are counted bit by bit.
+    """
+    sums = ", ".join(f"aggregate({hashes}, 0L, (s, h) -> s + (shiftrightunsigned(h, {j}) & {0x0001000100010001}L))" for j in range(16))
+    packed = "(shiftrightunsigned(sums[b % 16], 16 * (b div 16)) & 65535L)"
+    single = f"size(filter({hashes}, h -> (shiftright(h, b) & 1L) = 1L))"
+    bits = lambda ones: f"aggregate(sequence(0, 63), 0L, (f, b) -> f | shiftleft(cast(2 * {ones} > size({hashes}) as bigint), b))"
+    few = f"transform(array(array({sums})), sums -> {bits(packed)})[0]"
+    return F.expr(f"if(size({hashes}) <= {_COUNTED}, {few}, {bits(single)})")
 
 
 def similarity(a: str, b: str) -> Column:
-    """Weighted Jaccard similarity of two arrays as bags."""
-    shared = f"aggregate(array_distinct({a}), 0L, (s, h) -> s + least(size(filter({a}, x -> x = h)), size(filter({b}, x -> x = h))))"
-    return F.expr(f"{shared} / (size({a}) + size({b}) - {shared})")
+    """Weighted Jaccard similarity of two arrays as bags; of two without repeated values it is that of sets."""
+    bags = f"aggregate(array_distinct({a}), 0L, (s, h) -> s + least(size(filter({a}, x -> x = h)), size(filter({b}, x -> x = h))))"
+    plain = f"size(array_distinct({a})) = size({a}) AND size(array_distinct({b})) = size({b})"
+    shared = f"if({plain}, cast(size(array_intersect({a}, {b})) as bigint), {bags})"
+    return F.expr(f"transform(array({shared}), n -> n / (size({a}) + size({b}) - n))[0]")
 
 
 def _starts(least: float) -> Column:
@@ -109,17 +124,20 @@ def contaminated(
     places = hits.where(F.col("doc_words") >= F.col("n_words")).groupBy("doc_id", "text_key", "item_key", "n_words", "doc_words", "k").agg(
         F.sort_array(F.collect_set("at")).alias("places")
     )
-    windows = places.select("doc_id", "text_key", "n_words", F.explode(_starts(least)).alias("start"))
+    windows = places.select("doc_id", "text_key", "item_key", "n_words", "k", F.explode(_starts(least)).alias("start"))
     windows = stored(windows.distinct(), "benchmark-windows")
-    wanted = windows.groupBy("text_key").agg(F.collect_set(F.struct("n_words", "start")).alias("windows"))
-    texts = docs.join(wanted, "text_key", "left_semi").select("text_key", "text").groupBy("text_key").agg(F.max("text").alias("text"))
-    cut = (
-        texts.join(wanted, "text_key").withColumn("words", word_list(F.col("text")))
-        .select("text_key", "words", F.explode("windows").alias("w")).select("text_key", "w.n_words", "w.start", F.expr("slice(words, w.start + 1, w.n_words)").alias("words"))
-    )
-    k_of = "least(size(words), %d)" % k
-    hashed = cut.withColumn("hashes", F.expr(f"transform(sequence(1, size(words) - {k_of} + 1), i -> xxhash64(slice(words, i, {k_of})))"))
-    printed = hashed.select("text_key", "n_words", "start", "hashes", simhash("hashes").alias("print"))
+    wanted = windows.groupBy("text_key", "k").agg(F.collect_set(F.struct("item_key", "n_words", "start")).alias("windows"))
+    held = stored(windows.select("text_key").distinct(), "benchmark-texts")
+    # Few documents have windows; up to a checked number their keys go to all tasks, so that texts are not shuffled.
+    held = F.broadcast(held) if held.count() <= SENT_KEYS else held
+    texts = docs.join(held, "text_key", "left_semi").groupBy("text_key").agg(F.max("text").alias("text"))
+    texts = texts.select("text_key", word_list(F.col("text")).alias("words")).join(wanted, "text_key")
+    all_hashes = F.expr("transform(sequence(1, size(words) - k + 1), i -> xxhash64(slice(words, i, k)))")
+    shingled = stored(texts.select("text_key", "k", "windows", all_hashes.alias("all_hashes")), "benchmark-shingles")
+    window = "slice(all_hashes, start + 1, n_words - k + 1)"
+    each = shingled.select("text_key", "k", "all_hashes", F.explode("windows").alias("w")).select("text_key", "k", "all_hashes", "w.*")
+    printed = each.select("text_key", "item_key", "start", F.expr(window).alias("hashes")).select("text_key", "item_key", "start", simhash("hashes").alias("print"))
+    printed = stored(printed, "benchmark-prints")
     values = _block_values(radius, blocks)
     key = lambda print_, begin, mask: f"named_struct('block', {begin}, 'value', {_block(print_, begin, blocks)} ^ {mask}L)"
     asked = F.expr("array(" + ", ".join(key("print", begin, 0) for begin, _ in values) + ")")
@@ -132,16 +150,16 @@ def contaminated(
                 F.expr(f"(shiftrightunsigned(item_print, block) & {(1 << (64 // blocks)) - 1}L) ^ mask").alias("value"))
     )
     # Blocks first, with narrow rows; a pair that several blocks find is one pair.
-    narrow = index.select("item_key", "n_words", "item_print", "block", "value")
+    narrow = index.select("item_key", "item_print", "block", "value")
     pairs = (
-        printed.select("text_key", "n_words", "start", "print", F.explode(asked).alias("b")).select("*", "b.block", "b.value").drop("b")
-        .join(narrow, ["n_words", "block", "value"])
+        printed.select("text_key", "item_key", "start", "print", F.explode(asked).alias("b")).select("*", "b.block", "b.value").drop("b")
+        .join(narrow, ["item_key", "block", "value"])
         .withColumn("distance", F.bit_count(F.expr("print ^ item_print"))).where(F.col("distance") <= radius)
-        .select("text_key", "n_words", "start", "item_key", "distance").distinct()
+        .select("text_key", "item_key", "start", "distance").distinct()
     )
-    full = items.select("item_key", "item_id", F.col("hashes").alias("item_hashes"))
+    full = items.select("item_key", "item_id", "n_words", "k", F.col("hashes").alias("item_hashes"))
     found = (
-        pairs.join(printed.drop("print"), ["text_key", "n_words", "start"]).join(full, "item_key")
+        pairs.join(full, "item_key").join(shingled.drop("windows"), ["text_key", "k"]).withColumn("hashes", F.expr(window))
         .withColumn("similarity", similarity("hashes", "item_hashes")).where(F.col("similarity") >= least)
     )
     best = F.max_by(F.struct("start", "distance"), F.struct("similarity", -F.col("start")))
