@@ -15,8 +15,12 @@ def _own_root() -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; below a folder of this process where that is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
+    """A new path below ``spark.checkpoint.dir``. Only a local session may leave that unset; it then gets a folder of this process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        root = _own_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
