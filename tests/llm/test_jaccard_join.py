@@ -89,6 +89,28 @@ def test_odd_rows(spark):
     assert collections.Counter(r["doc_id"] for r in kept.collect()) == firsts
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_groups_that_share_a_phrase_and_a_chain_between_them(spark, whole):
+    """Two groups of near copies with half their words in common; single documents lead from one to the other, or stop short of it."""
+    rng = random.Random(9)
+    phrase = [f"p{i}" for i in range(60)]
+    here, there = ([f"{side}{i}" for i in range(60)] for side in "ab")
+
+    def copy(tail):
+        tail = list(tail)
+        tail[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        return " ".join(phrase + tail)
+
+    texts = [copy(tail) for tail in (here, there) for _ in range(120)]
+    steps = range(6, 60, 6) if whole else [n for n in range(6, 60, 6) if n not in (24, 30, 36)]
+    texts += [" ".join(phrase + there[:n] + here[n:]) for n in steps]
+    rng.shuffle(texts)
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    got = bag(component_of(documents(spark, rows).repartition(3)).select("doc_id", "n_shingles", "component_id"))
+    assert got == slow(rows)
+    assert len({component for _, _, component in got}) == (1 if whole else 2)
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r)[:2] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
