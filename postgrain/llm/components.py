@@ -14,7 +14,7 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
     if not large:
         both = both.where(F.col("b") < F.col("a"))
     least = both.groupBy("a").agg(F.min("b").alias("least"))
-    least = stored(least.select(F.col("a").alias("centre"), F.least("a", "least").alias("least")), "stars")
+    least = least.select(F.col("a").alias("centre"), F.least("a", "least").alias("least"))
     seen = both.join(least, both["a"] == least["centre"])
     if large:
         out = seen.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -22,19 +22,24 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
         out = seen.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
             least.select(F.col("centre").alias("a"), F.col("least").alias("b"))
         )
-    return out.where(F.col("a") != F.col("b")).distinct()
+    return stored(out.where(F.col("a") != F.col("b")).distinct(), "stars")
+
+
+def _only_stars(links: DataFrame) -> bool:
+    """Whether each node is either linked to one smaller node or has only larger ones; the smaller ones then are the roots."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of the links (a, b): root is the smallest node reachable. Self-links do not count."""
-    links = stored(links.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
-    mark = None
-    while True:
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-        links = stored(_stars(_stars(links, large=True), large=False), "links")
+    links = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = stored(links.distinct(), "links")
+    while not _only_stars(links):
+        links = _stars(_stars(links, large=True), large=False)
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
