@@ -18,6 +18,9 @@ left out for sets that can afford it. Sets that cannot, go by single shingles, a
 First a few signatures of each set link most near copies to one of them, so that thousands of copies are one group when
 all segments are compared; pairs within a group need no comparison. Two similar sets agree on more segments than either's
 slack, so pairs of different groups that share fewer signatures are dropped. All links are verified on the sets.
+
+Half of its slack a set spends beforehand: that many of its largest signatures are not sent. Of what two sets share, either then
+misses some of the largest, so together they miss no more than the one with more slack does, and share more than what is left of it.
 """
 
 from __future__ import annotations
@@ -100,8 +103,17 @@ def allocation(low: int, high: int) -> tuple[int, int, int, int] | None:
     return best
 
 
+def _halved(sig: np.ndarray, row: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures without the largest of each row, half as many as its slack; and the slack that is left."""
+    order = np.lexsort((sig, row))
+    sig, row = sig[order], row[order]
+    drop = np.maximum(left, 0) // 2
+    keep = np.arange(len(row)) < (np.cumsum(np.bincount(row, minlength=len(left))) - drop)[row]
+    return sig[keep], row[keep], left - drop
+
+
 def signatures(values: np.ndarray, at: np.ndarray, single: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of sorted sets: (signature, row), and (row, slack left) of each set in each of its bands.
+    """Of sorted sets: (signature, row), and (row, slack left) of each set in each of its bands, half of the slack being spent.
 
     With ``single``, each shingle is a segment of its own, the same in all bands.
     """
@@ -124,9 +136,10 @@ def signatures(values: np.ndarray, at: np.ndarray, single: bool = False) -> tupl
             plan = None if single else allocation(int(edges[b]), int(edges[b + 1] - 1))
             takes.append(chosen)
             if plan is None:
-                sigs.append(mixed(some ^ salt))
+                sig, row, spare = _halved(mixed(some ^ salt), row, (3 * lengths + 3) // 4 - 1)
+                sigs.append(sig)
                 rows.append(chosen[row])
-                left.append((3 * lengths + 3) // 4 - 1)
+                left.append(spare)
                 continue
             deletions, share, exact, slack = plan
             # The universe in equal parts; a segment with deletions is ``share`` of them. Sorted sets keep segments together.
@@ -137,17 +150,20 @@ def signatures(values: np.ndarray, at: np.ndarray, single: bool = False) -> tupl
             token = mixed(some ^ salt)
             total = np.add.reduceat(token, first) if len(first) else token
             name = mixed(segment[first].astype(np.uint64) + salt)
-            sigs.append(mixed(total ^ name))
-            rows.append(chosen[row[first]])
+            sig, of = [mixed(total ^ name)], [row[first]]
             loose = segment[first] < deletions
             if deletions:
                 again = np.repeat(loose & (count > 1), count)
-                sigs.append(mixed((np.repeat(total, count) - token)[again] ^ np.repeat(name, count)[again]))
-                rows.append(chosen[row[again]])
+                sig.append(mixed((np.repeat(total, count) - token)[again] ^ np.repeat(name, count)[again]))
+                of.append(row[again])
             present = np.bincount(row[first][~loose], minlength=len(chosen))
             firm = np.bincount(row[first][loose & (count > 1)], minlength=len(chosen))
             spare = slack - (exact - present) - 2 * (deletions - firm)
-            left.append(spare // 2 if deletions else spare)  # a signature may stand for two there
+            # A signature may stand for two where one shingle may go.
+            sig, of, spare = _halved(np.concatenate(sig), np.concatenate(of), spare // 2 if deletions else spare)
+            sigs.append(sig)
+            rows.append(chosen[of])
+            left.append(spare)
     join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
     return join(sigs, np.uint64), join(rows, np.int64), join(takes, np.int64), join(left, np.int64)
 
@@ -240,6 +256,7 @@ def _across(table: pa.Table, crowd: int) -> pa.Table:
     everywhere; for crowded signatures (NULL b) the nodes alone and the number of these."""
     begin, _, nodes = _met(table)
     node, group, size, left = (nodes[c].to_numpy() for c in ("node", "group", "size", "left"))
+    group = np.where(group == 0, node, group)
     one, two, lone, waiting = [], [], [np.empty(0, np.int64)], 0
     met = np.empty((0, 4), np.int64)  # a, b, times, need of each pair so far
 
@@ -279,12 +296,20 @@ def _bits(n: int) -> int:
     return max(0, round(math.log2(max(1, n * EXPECTED / MATCHED))))
 
 
+def _mask(n: int) -> np.uint64:
+    """Which bits of a signature are sent: enough for a few thousand pairs in all to agree on these by chance, which are then verified."""
+    spared = min(24, max(0, 76 - 2 * math.ceil(math.log2(max(2, n * EXPECTED)))))
+    return np.uint64(2**64 - (1 << spared))
+
+
 def _beside(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
     """Texts joined to a stored table by key. A side of checked size goes to all tasks, so that texts are not shuffled."""
     return texts.join(_small(side), "key", how)
 
 
-def _sent(texts: DataFrame, bits: int, first: int | None = None, single: bool = False, report: bool = True) -> DataFrame:
+def _sent(
+    texts: DataFrame, bits: int, mask: np.uint64, first: int | None = None, single: bool = False, report: bool = True
+) -> DataFrame:
     """Signatures packed by owner (kind 1). With ``report`` also, for each text, its node and size, and the least slack that it has in a
     band (kind 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,10 +318,13 @@ def _sent(texts: DataFrame, bits: int, first: int | None = None, single: bool =
             rows = []
             named = "root" in sets.rows.column_names
             group = sets.rows["root"].combine_chunks().fill_null(0).to_numpy() if named else sets.node
-            group = np.where(group == 0, sets.node, group)
+            group = np.where(group == sets.node, 0, group)  # 0: the node itself
             sig, row, takes, slack = signatures(*sets.once(), single=single)
+            sig &= mask
             left = np.full(len(sets.node), np.iinfo(np.int64).max)
             np.minimum.at(left, takes, slack)
+            # Signatures of a set that the mask makes one count once where they are shared.
+            np.subtract.at(left, row[1:][(row[1:] == row[:-1]) & (sig[1:] == sig[:-1])], 1)
             if report:
                 told = pa.record_batch({"key": sets.rows["key"].combine_chunks(), "node": sets.node, "size": sets.size, "left": left})
                 rows.append((0, -1, to_ipc(told), None))
@@ -390,9 +418,10 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
     the way and changes no result.
     """
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", text_key(F.col("text")))
-    bits = _bits(documents.count())
+    n = documents.count()
+    bits, mask = _bits(n), _mask(n)
     schema = "a bigint, b bigint, times bigint, need bigint"
-    sent = stored(_sent(texts, max(0, bits - 4), first=FIRST), "join-first")
+    sent = stored(_sent(texts, max(0, bits - 4), mask, first=FIRST), "join-first")
     told = stored(_reported(sent, "key binary, node bigint, size bigint, left bigint"), "join-told")
     keys = stored(told.select("key", "node", "size").distinct(), "join-keys")
     one_key = stored(keys.groupBy("node").agg(F.min("key").alias("key")), "join-one-key")
@@ -402,14 +431,18 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
 
     members = stored(owned(sent, _members, "sig bigint, node bigint, size bigint"), "join-members")
     sets = _sets_of(members.select("node").distinct(), texts, one_key)
-    links = roots = None
+
+    def joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+        if roots is not None:
+            if found.isEmpty():
+                return roots
+            found = found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        return stored(components(found), "join-roots")
+
+    roots = None
     for _ in range(ROUNDS):
         pairs = stored(_to_leaders(members, roots), "join-pairs")
-        if links is not None and pairs.isEmpty():
-            break
-        found = _verified(pairs, sets)
-        links = found if links is None else links.unionByName(found)
-        roots = stored(components(links), "join-roots")
+        roots = joined(roots, _verified(pairs, sets))
 
     def grouped(of: DataFrame, how: str = "left") -> DataFrame:
         return _beside(texts, stored(keys.join(of, "node").select("key", "root"), "join-groups"), how)
@@ -420,7 +453,7 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
     def crowded(found: DataFrame) -> DataFrame:
         return found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("times").alias("crowded"))
 
-    def more(found: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def more(found: DataFrame, roots: DataFrame) -> DataFrame:
         pairs = found.where(F.col("b").isNotNull()).groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
         # What crowded signatures may hide of a pair counts as shared, twice where one may stand for two.
         hidden = crowded(found)
@@ -428,13 +461,12 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
         hides = 2 * F.least(F.coalesce("crowded", F.lit(0)), F.coalesce("too", F.lit(0)))
         pairs = stored(pairs.where(F.col("times") + hides >= F.col("need")).select("a", "b"), "join-pairs")
         if pairs.isEmpty():
-            return links, roots
+            return roots
         both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        links = links.unionByName(_verified(pairs, _sets_of(both, texts, one_key)))
-        return links, stored(components(links), "join-roots")
+        return joined(roots, _verified(pairs, _sets_of(both, texts, one_key)))
 
-    found = stored(owned(_sent(grouped(roots), bits, report=False), across(crowd), schema), "join-found")
-    links, roots = more(found, links, roots)
+    found = stored(owned(_sent(grouped(roots), bits, mask, report=False), across(crowd), schema), "join-found")
+    roots = more(found, roots)
     # A crowded signature costs up to two; all of a node's are charged to its band with the least slack, which errs to the safe side.
     least = told.groupBy("node").agg(F.min("left").alias("left"))
     short = least.join(crowded(found), least["node"] == F.col("a"), "left").where(F.col("left") < 2 * F.coalesce("crowded", F.lit(0))).select("node")
@@ -443,12 +475,13 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
         if short.isEmpty():
             break
         mine = short.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        sent = _sent(grouped(mine, "inner"), max(0, bits - 4), single=True, report=False)
+        sent = _sent(grouped(mine, "inner"), max(0, bits - 4), mask, single=True, report=False)
         found = stored(owned(sent, across(most), schema), "join-found")
-        links, roots = more(found, links, roots)
+        roots = more(found, roots)
         sizes = keys.groupBy("node").agg(F.max("size").alias("size"))
-        # Similar sets share three quarters of either; if no more than all but one of these are crowded, another is not.
+        # Similar sets share three quarters of either; if no more than all but one of these are crowded or not sent, another is not.
         spare = F.floor((3 * F.col("size") + 3) / 4) - 1
+        spare = spare - F.floor(spare / 2)
         short = crowded(found).join(sizes, F.col("a") == F.col("node")).where(F.col("crowded") > spare).select("node")
     return keys, roots
 
