@@ -9,9 +9,10 @@ at a smaller place, or the next at a larger one, is the direct neighbour of the
 One suffix array over a corpus fits no machine, so places go to bins. A window of `min_bytes` picks the smallest hash
 among its `gram`-byte strings as its anchor; equal windows pick equal anchors, so they meet in the anchor's bin, whatever is
 around them. Anchors that occur once in the corpus need no bin at all (`blocks.py` counts them). Where an anchor occurs more often than
-`crowd`, its windows do not go to its bin: their fingerprints are counted over the cluster, which is exact at any size.
+`crowd`, its windows do not go to its bin: their fingerprints are counted over the cluster, which is exact at any size. Where the
+first copy stays, the block that holds the first window of a fingerprint is told so instead.
 
-Copies of a whole text are one text here, with all its bytes repeated.
+Copies of a whole text are one text here, with all its bytes repeated; where the first copy stays, all others go whole.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgrain.llm.blocks import (
-    ANSWER, DOCUMENTS_PER_BLOCK, QUESTION, answered, answers_of, block_count, distinct_texts, pack, questions, summed,
-    table_of, to_ipc,
+    ANSWER, DOCUMENTS_PER_BLOCK, QUESTION, answered, answers_of, block_count, distinct_texts, pack, packed_numbers, packed_sorted,
+    questions, ranges, summed, table_of, to_ipc, unpacked_numbers, unpacked_sorted,
 )
 from postgrain.llm.chat import _arrow
 from postgrain.llm.store import stored
@@ -36,9 +37,13 @@ from postgrain.llm.text import buffers, mixed, powers, running_sums
 MIN_BYTES = 400
 GRAM = 64
 CROWD = 20_000
-ANCHORS, WINDOWS, SEGMENTS = 1, 2, 3
+ANCHORS, WINDOWS, SEGMENTS, FIRSTS = 1, 2, 3, 4
+# Rows of one document and text that are written out at once.
+_REPEATED_ROWS = 1 << 20
 _PIECE = 4 << 20
 _LOW = np.uint64((1 << 24) - 1)
+# The place of a NULL doc_id in the order of documents.
+_LAST = 2**63 - 1
 
 
 def fingerprints(raw: np.ndarray, length: int) -> np.ndarray:
@@ -161,11 +166,27 @@ class _Block:
         again = number > 1
         return lo[again], hi[again], anchor[again], number[again] > crowd
 
-    def send(self, block: int, told: pa.Table, bits: int, crowd: int) -> Iterator[dict]:
-        """Texts of the runs that share an anchor, to the anchors' bins; crowded ones as counted fingerprints."""
+    def crowded_windows(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of windows of crowded anchors: the distinct fingerprints, that of each window, the first window of each, its document."""
+        hashes, of = np.unique(_window_hashes(self.raw, lo, hi, self.length), return_inverse=True)
+        place = _places(lo, hi - lo + 1)
+        doc = self.rows["doc_id"].combine_chunks().fill_null(_LAST).to_numpy()[np.searchsorted(self.at, place, "right") - 1]
+        order = np.lexsort((place, doc, of))
+        first = order[np.flatnonzero(np.diff(of[order], prepend=-1))]
+        return hashes, of, first, doc[first]
+
+    def send(self, block: int, told: pa.Table, bits: int, crowd: int, keep_first: bool) -> Iterator[dict]:
+        """Texts of the runs that share an anchor, to the anchors' bins; crowded ones as fingerprints, with counts or first documents."""
         lo, hi, anchor, many = self.crowded(told, crowd)
-        hashes, counts = np.unique(_window_hashes(self.raw, lo[many], hi[many], self.length), return_counts=True)
-        yield from questions(block, WINDOWS, hashes, counts.astype(np.uint32)[None], bits)
+        if keep_first:
+            hashes, _, _, doc = self.crowded_windows(lo[many], hi[many])
+            edges = ranges(hashes, bits)
+            for owner, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                if a < b:
+                    yield {"owner": owner, "block": block, "kind": FIRSTS, "hashes": packed_sorted(hashes[a:b]), "counts": packed_numbers(doc[a:b])}
+        else:
+            hashes, counts = np.unique(_window_hashes(self.raw, lo[many], hi[many], self.length), return_counts=True)
+            yield from questions(block, WINDOWS, hashes, counts.astype(np.uint32)[None], bits)
         lo, hi, anchor = lo[~many], hi[~many], anchor[~many]
         order = np.argsort(anchor, kind="stable")
         lo, hi, anchor = lo[order], hi[order], anchor[order]
@@ -192,11 +213,17 @@ class _Block:
             row, start, end = np.frombuffer(raw, "<i8").reshape(3, -1)
             np.add.at(edge, self.at[row] + start, 1)
             np.add.at(edge, self.at[row] + end, -1)
-        if WINDOWS in told["kind"].to_pylist():
+        if {WINDOWS, FIRSTS} & set(told["kind"].to_pylist()):
             lo, hi, _, many = self.crowded(told, crowd)
             lo, hi = lo[many], hi[many]
-            _, at = np.unique(_window_hashes(self.raw, lo, hi, self.length), return_inverse=True)
-            _, start, end = _runs(answers_of(told, WINDOWS, 1)[0][at] > 1, lo, hi - lo + 1, self.length)
+            if keep_first:
+                _, at, first, _ = self.crowded_windows(lo, hi)
+                found = np.ones(len(at), bool)
+                found[first[answers_of(told, FIRSTS, 1)[0] > 0]] = False
+            else:
+                _, at = np.unique(_window_hashes(self.raw, lo, hi, self.length), return_inverse=True)
+                found = answers_of(told, WINDOWS, 1)[0][at] > 1
+            _, start, end = _runs(found, lo, hi - lo + 1, self.length)
             np.add.at(edge, start, 1)
             np.add.at(edge, end, -1)
         gone = np.cumsum(edge[:-1]) > 0
@@ -224,8 +251,26 @@ class _Block:
         }
 
 
+def _firsts(table: pa.Table) -> pa.Table:
+    """Answers to blocks that told an owner the first document of each of their fingerprints: 1 for the block with the first of all."""
+    table = table.sort_by("block")
+    hashes = [unpacked_sorted(x.as_py()) for x in table["hashes"]]
+    every = np.concatenate(hashes)
+    doc = np.concatenate([unpacked_numbers(x.as_py(), np.int64) for x in table["counts"]])
+    order = np.lexsort((doc, every))  # stable: the smaller block among equal documents
+    first = np.zeros(len(every), np.uint32)
+    first[order[np.append(True, every[order[1:]] != every[order[:-1]])]] = 1
+    ends = np.cumsum([len(h) for h in hashes])
+    replies = [packed_numbers(first[e - len(h) : e]) for e, h in zip(ends, hashes, strict=True)]
+    return pa.table({
+        "block": table["block"], "owner": table["owner"], "kind": table["kind"], "counts": pa.array(replies, pa.binary()),
+        "total": pa.array([None] * len(replies), pa.binary()),
+    })
+
+
 def _binned(table: pa.Table, length: int, keep_first: bool) -> pa.Table:
     """A bin's repeated spans, for each block that sent text: rows, starts and ends."""
+    table = table.sort_by("block")
     parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["hashes"]]
     sender = np.repeat(np.arange(len(parts)), [p.num_rows for p in parts])
     lengths, hashes = [], []
@@ -236,7 +281,7 @@ def _binned(table: pa.Table, length: int, keep_first: bool) -> pa.Table:
         lengths.append(count)
     every = pa.concat_tables([p.drop_columns(["text"]) for p in parts])
     count, lo, row = np.concatenate(lengths), every["lo"].to_numpy(), every["row"].to_numpy()
-    first = every["first"].fill_null(np.iinfo(np.int64).max).to_numpy()
+    first = every["first"].fill_null(_LAST).to_numpy()
     place = np.lexsort((lo, row, sender, first))  # by the document's smallest id, then by place
     begin = np.cumsum(count) - count
     windows = _places(begin[place], count[place])
@@ -266,17 +311,18 @@ def repeated_spans(
     """One row per distinct text: key (MD5 of its bytes), n_bytes, spans (start, end in bytes), kept_sha256, kept.
 
     Texts are whole, as UTF-8 bytes; NULL is empty. Spans are what strings of ``min_bytes`` cover that also start elsewhere in any
-    text, judged on the input; with ``keep_first`` only where they start earlier, by smallest doc_id (NULL last) and place,
-    and copies of a whole text are then not told apart. Texts below ``min_bytes`` have no spans. ``kept`` has the bytes left if
-    ``with_text``, else NULL. Only doc_id and text are read; an empty table gives an empty result. ``crowd`` only
-    chooses the way and changes no result; with ``keep_first`` crowded anchors go to their bins all the same.
+    text, judged on the input; with ``keep_first`` only where they start earlier, by smallest doc_id (NULL last) and place;
+    the spans then are those of the text's first document, and `spans_by_document` gives all others' bytes as repeated. Texts below
+    ``min_bytes`` have no spans. ``kept`` has the bytes left if ``with_text``, else NULL. Only doc_id and text are read; an empty
+    table gives an empty result. ``crowd`` only chooses the way; where different texts have one doc_id (or none), which of them is
+    the first may depend on ``per_block``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     n_blocks = block_count(documents.count(), per_block)
     bits = max(0, math.ceil(math.log2(n_blocks)))
     keyed = documents.select(F.col("doc_id"), text.alias("text"), text_key(text).alias("key"))
     packed = pack(keyed.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n_blocks))), "key")
-    question, crowd = _arrow(documents, QUESTION), 2**32 if keep_first else crowd
+    question = _arrow(documents, QUESTION)
 
     def ask(group: tuple, table: pa.Table) -> pa.Table:
         return table_of(_Block(table["payload"], min_bytes, gram).ask(group[0].as_py(), bits), question)
@@ -286,14 +332,15 @@ def repeated_spans(
     def send(group: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
         if not told.num_rows:
             return question.empty_table()
-        return table_of(_Block(texts["payload"], min_bytes, gram).send(group[0].as_py(), told, bits, crowd), question)
+        return table_of(_Block(texts["payload"], min_bytes, gram).send(group[0].as_py(), told, bits, crowd, keep_first), question)
 
     def answer(table: pa.Table) -> pa.Table:
-        return _binned(table, min_bytes, keep_first) if table["kind"][0].as_py() == SEGMENTS else summed(table, 1)
+        kind = table["kind"][0].as_py()
+        return _binned(table, min_bytes, keep_first) if kind == SEGMENTS else _firsts(table) if kind == FIRSTS else summed(table, 1)
 
     sent = packed.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(send, QUESTION)
     told = stored(sent.groupBy("kind", "owner").applyInArrow(answer, ANSWER), "repeat-spans")
-    told = told.unionByName(anchors.join(told.where(F.col("kind") == WINDOWS).select("block").distinct(), "block", "left_semi"))
+    told = told.unionByName(anchors.join(told.where(F.col("kind").isin(WINDOWS, FIRSTS)).select("block").distinct(), "block", "left_semi"))
     result = "key binary, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string, kept binary"
     out = _arrow(documents, result)
 
@@ -309,11 +356,38 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def spans_by_document(documents: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256, kept."""
-    spans = repeated_spans(documents, **options)
+def _told_apart(rows: DataFrame, spans: DataFrame, min_bytes: int, with_text: bool) -> DataFrame:
+    """Spans of each row where first copies stay: of rows with one text only one has the text's spans, all others go whole.
+
+    Rows of one text are counted by doc_id before they are shuffled, and written out again in bounded runs.
+    """
+    counted = rows.groupBy("key", "doc_id").agg(F.count("*").alias("n"))
+    # The smallest doc_id of each text; NULL where there is no other.
+    least = counted.groupBy("key").agg(F.min("doc_id").alias("least"))
+    counted = stored(counted.join(least, "key"), "repeat-copies")
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / _REPEATED_ROWS))))
+    begin = F.col("run") * _REPEATED_ROWS
+    each = runs.withColumn("copy", F.explode(F.sequence(begin, F.least("n", begin + _REPEATED_ROWS) - 1)))
+    later = ~(F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("copy") == 0)) & (F.col("n_bytes") >= min_bytes)
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
+    nothing = F.lit(b"")
+    return each.join(spans, "key").select(
+        "doc_id", "n_bytes", F.when(later, whole).otherwise(F.col("spans")).alias("spans"),
+        F.when(later, F.sha2(nothing, 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
+        (F.when(later, nothing).otherwise(F.col("kept")) if with_text else F.col("kept")).alias("kept"),
+    )
+
+
+def spans_by_document(documents: DataFrame, *, min_bytes: int = MIN_BYTES, keep_first: bool = False, with_text: bool = False, **options) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256, kept.
+
+    Options as in `repeated_spans`. With ``keep_first``, of rows with one text the one with the smallest doc_id (NULL last) has
+    what that gives; every other one of at least ``min_bytes`` is removed whole. Of rows equal in both, one is the first.
+    """
+    spans = repeated_spans(documents, min_bytes=min_bytes, keep_first=keep_first, with_text=with_text, **options)
     rows = documents.select("doc_id", text_key(F.col("text")).alias("key"))
+    rows = _told_apart(rows, spans, min_bytes, with_text) if keep_first else rows.join(spans, "key")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return rows.join(spans, "key").select(
+    return rows.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "spans", "kept_sha256", "kept"
     )

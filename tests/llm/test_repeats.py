@@ -67,12 +67,33 @@ def test_same_as_every_window(spark, crowd, per_block):
     compare(rows, got, 40)
 
 
-def test_the_first_copy_can_stay(spark):
-    rows = [r for r in corpus(5) if r[0] not in (40, 41)]
-    got = spans_by_document(documents(spark, rows), min_bytes=40, gram=8, keep_first=True, per_block=5).collect()
+@pytest.mark.parametrize(("crowd", "per_block"), [(20_000, 5), (1, 3), (3, 7)])
+def test_the_first_copy_can_stay(spark, crowd, per_block):
+    rows = corpus(5)
+    df = documents(spark, rows).repartition(3)
+    got = spans_by_document(df, min_bytes=40, gram=8, keep_first=True, crowd=crowd, per_block=per_block).collect()
     compare(rows, got, 40, keep_first=True)
 
 
+@pytest.mark.parametrize("crowd", [20_000, 10])
+def test_copies_of_a_text_go_but_for_the_first(spark, crowd):
+    rng = random.Random(8)
+    text, other = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (1500, 600))
+    rows = [(i, text, "en", "s") for i in range(5)] + [(5, other + text, "en", "s"), (6, "short", "en", "s"), (7, "short", "en", "s")]
+    rows += [(None, other, "en", "s"), (None, other, "en", "s"), (9, text[200:900], "en", "s"), (9, text[200:900], "en", "s")]
+    got = spans_by_document(documents(spark, rows).repartition(3), keep_first=True, crowd=crowd, per_block=2, with_text=True).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0]))
+    compare(order, got, 400, keep_first=True)
+    left = sorted((g["doc_id"] is None, g["doc_id"], bytes(g["kept"])) for g in got if g["doc_id"] in (0, 1, 5, 6))
+    assert left == [(False, 0, text.encode()), (False, 1, b""), (False, 5, other.encode()), (False, 6, b"short")]
+
+
+def test_no_rows_and_no_texts_where_the_first_stays(spark):
+    df = with_clashes(documents(spark, odd_rows()), "key", "n", "least", "copy", "run")
+    compare(sorted(odd_rows(), key=lambda r: (r[0] is None, r[0])), spans_by_document(df, keep_first=True).collect(), 400, keep_first=True)
+    assert spans_by_document(df.limit(0), keep_first=True).count() == 0
+
+
 def test_odd_rows_and_what_is_left(spark):
     rows = [*odd_rows(), (11, "x" * 5000, "en", "a"), (12, "q" + "x" * 450, "en", "a")]
     df = with_clashes(documents(spark, rows), "key", "block", "kept", "spans")
