@@ -13,7 +13,8 @@ shingle a segment of its own.
 Agreement on nothing (both segments empty, or both of one shingle when one may go) proves nothing. So there are more segments than
 differences by a `slack`; as long as either set has no more such segments than that, the two agree on a segment that says
 something. The same slack pays for crowded signatures, those of more than `CROWD` groups that are not yet linked: they are
-left out for sets that can afford it. Sets that cannot, go by single shingles, and what is crowded even there is compared pair by pair.
+left out for sets that can afford it. Sets that cannot, go by single shingles, and those that have too many crowded ones even there
+by their rarest shingles, counted among these sets.
 
 First a few signatures of each set link most near copies to one of them, so that thousands of copies are one group when
 all segments are compared; pairs within a group need no comparison. Two similar sets agree on more segments than either's
@@ -32,7 +33,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postgrain.llm.blocks import from_ipc, packed_numbers, packed_sorted, to_ipc, unpacked_numbers, unpacked_sorted
@@ -52,6 +53,8 @@ BROADCAST_NODES = 500_000
 _SLICE = 2 << 20
 # Pairs that a Python worker gets at once, each with two whole sets.
 _PAIRS = 256
+# Nodes of a shingle that are compared with all others of it at once.
+_BLOCK = 500
 # Pairs that a task notes before it counts equal ones together.
 _WAITING = 500_000
 
@@ -395,6 +398,46 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         conf.set(name, before)
 
 
+def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(shingle, node, size, need, blocks): the rarest shingles of nodes (node, size, root), where different groups have them, and how
+    many two nodes share at least if they are similar.
+
+    Similar sets share more than ``spare`` shingles, of either. Seven eighths of that, the most frequent ones, are left out of each set;
+    as shingles have one order for all, two sets lose no more of what they share than the one with more to spare leaves out.
+    """
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch["node"].to_pylist(), batch["items"], strict=True):
+                items = unpacked_sorted(raw.as_py()).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node)), pa.array(items)], names=["node", "shingle"])
+
+    each = sets.mapInArrow(unpack, "node bigint, shingle bigint").join(nodes, "node")
+    each = stored(each, "join-each")
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"), (F.min("root") < F.max("root")).alias("meets"))
+    rarest = Window.partitionBy("node").orderBy(F.desc("often"), "shingle")
+    spare = F.floor((3 * F.col("size") + 3) / 4) - 1
+    left_out = F.floor(spare * 7 / 8)
+    kept = each.join(often, "shingle").withColumn("place", F.row_number().over(rarest)).where((F.col("place") > left_out) & F.col("meets"))
+    kept = kept.select("shingle", "node", "size", (spare - left_out + 1).alias("need"), F.ceil(F.col("often") / _BLOCK).alias("blocks"))
+    return stored(kept, "join-rarest")
+
+
+def _by_rarest(kept: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups that share enough of their `_rarest` shingles."""
+    kept = kept.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Nodes of a frequent shingle meet block by block.
+    one = kept.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
+    two = kept.select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "need")]
+    )
+    low, high = F.least("size", "size_b"), F.greatest("size", "size_b")
+    met = one.join(two, ["shingle", "block"]).where((F.col("root") < F.col("root_b")) & (4 * low >= 3 * high))
+    pairs = met.groupBy(F.col("node").alias("a"), F.col("node_b").alias("b")).agg(
+        F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need")
+    )
+    return pairs.where(F.col("times") >= F.col("need")).select("a", "b")
+
+
 def _to_leaders(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     """(a, b): of each group, one node with one of the group it shares most signatures with among the smallest groups there."""
     rows = members.withColumn("group", F.col("node")) if roots is None else (
@@ -470,20 +513,28 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
     # A crowded signature costs up to two; all of a node's are charged to its band with the least slack, which errs to the safe side.
     least = told.groupBy("node").agg(F.min("left").alias("left"))
     short = least.join(crowded(found), least["node"] == F.col("a"), "left").where(F.col("left") < 2 * F.coalesce("crowded", F.lit(0))).select("node")
-    for most in (crowd, 2**62):
-        short = stored(short, "join-short")
-        if short.isEmpty():
-            break
-        mine = short.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        sent = _sent(grouped(mine, "inner"), max(0, bits - 4), mask, single=True, report=False)
-        found = stored(owned(sent, across(most), schema), "join-found")
-        roots = more(found, roots)
-        sizes = keys.groupBy("node").agg(F.max("size").alias("size"))
-        # Similar sets share three quarters of either; if no more than all but one of these are crowded or not sent, another is not.
-        spare = F.floor((3 * F.col("size") + 3) / 4) - 1
-        spare = spare - F.floor(spare / 2)
-        short = crowded(found).join(sizes, F.col("a") == F.col("node")).where(F.col("crowded") > spare).select("node")
-    return keys, roots
+    short = stored(short, "join-short")
+    if short.isEmpty():
+        return keys, roots
+    mine = short.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    sent = _sent(grouped(mine, "inner"), max(0, bits - 4), mask, single=True, report=False)
+    found = stored(owned(sent, across(crowd), schema), "join-found")
+    roots = more(found, roots)
+    sizes = keys.groupBy("node").agg(F.max("size").alias("size"))
+    # Similar sets share three quarters of either; if no more than all but one of these are crowded or not sent, another is not.
+    spare = F.floor((3 * F.col("size") + 3) / 4) - 1
+    spare = spare - F.floor(spare / 2)
+    short = crowded(found).join(sizes, F.col("a") == F.col("node")).where(F.col("crowded") > spare)
+    short = stored(short.join(roots, "node", "left").select("node", "size", F.coalesce("root", "node").alias("root")), "join-short")
+    if short.isEmpty():
+        return keys, roots
+    sets = _sets_of(short.select("node"), texts, one_key)
+    rarest = _rarest(short, sets)
+    for _ in range(ROUNDS):
+        pairs = stored(_to_leaders(rarest.select(F.col("shingle").alias("sig"), "node", "size"), roots), "join-pairs")
+        roots = joined(roots, _verified(pairs, sets))
+    pairs = stored(_by_rarest(rarest, roots), "join-pairs")
+    return keys, joined(roots, _verified(pairs, sets))
 
 
 def component_of(documents: DataFrame, **options) -> DataFrame:
@@ -507,8 +558,6 @@ def one_of_each(documents: DataFrame, **options) -> DataFrame:
 
     Documents without shingles are linked with nothing and all stay.
     """
-    from pyspark.sql.window import Window
-
     keys, roots = linked_texts(documents, **options)
     named = stored(
         keys.where(F.col("size") > 0).join(roots, "node", "left").select(F.col("key").alias("__key"), F.coalesce("root", "node").alias("__root")),
