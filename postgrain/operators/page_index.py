@@ -3,9 +3,10 @@
 The posts are dealt over ranges of that order, one partition folder each, and counted by range and cell of the filter cube. The counts say in which
 range a page of any selection begins, so a page reads that range alone, whether it is the first or the millionth.
 
-For searches the distinct values of each column are kept with the ranges that they occur in, and, by column, postings of their trigrams.
-A term's trigrams are intersected to the values that can hold it; `contains` has the last word, on values; the posts of those values are then read from their ranges. Terms
-of fewer than three characters scan the values, not the posts.
+For searches the distinct values of each column are kept, sorted and cut into blocks, with the ranges that they occur in, and, by column, postings of the blocks
+that hold a trigram: values of one block share most trigrams, so there are far fewer postings than trigrams of values. A term's trigrams are intersected to the blocks that
+can hold it; `contains` has the last word, on the values of these blocks, which name the ranges to read, and on the posts of these ranges. Terms of fewer than
+three characters scan the values.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ RANGE_ROWS = 100_000
 # Folders of a table, so also the numbers that the list of a search's ranges may hold.
 MOST_RANGES = 100_000
 GRAM = 3
-VALUES = "value string, range int, column string"
+# Values of a block, at least; more where there would be more blocks than MOST_RANGES.
+BLOCK_VALUES = 1_000
+VALUES = "value string, range int, block bigint, column string"
+POSTINGS = "gram string, block bigint, column string"
 
 
 def _shown(df: DataFrame) -> list[str]:
@@ -35,13 +39,18 @@ def _order(df: DataFrame) -> list[str]:
     return list(dict.fromkeys([*present(df, ["sid", "post_id"]), *_shown(df)]))
 
 
+def page_rows(posts: DataFrame) -> DataFrame:
+    """The columns that pages are ordered, shown and selected by."""
+    return posts.select(*dict.fromkeys([*_order(posts), *present(posts, SLICE_DIMS)]))
+
+
 def save_pages(posts: DataFrame, path: str, range_rows: int = RANGE_ROWS) -> None:
     """Posts by range, and the number of posts per range and cell.
 
     Equal posts are spread over ranges by their number in the input, which should be stored files so that a task run again numbers them alike.
     """
     spark = posts.sparkSession
-    rows = posts.select(*dict.fromkeys([*_order(posts), *present(posts, SLICE_DIMS)]))
+    rows = page_rows(posts)
     ranges = min(MOST_RANGES, max(1, math.ceil(rows.count() / range_rows)))
     order = _order(rows)
     dealt = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(ranges, *order, "row")
@@ -94,13 +103,18 @@ def _grams(text: Column) -> Column:
 
 
 def save_search(pages: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """Values by column with the ranges they occur in, and postings of their trigrams. ``columns`` default to all that pages show."""
+    """Values by column with the ranges they occur in, in sorted blocks, and postings of the blocks' trigrams. ``columns`` default to all that pages show."""
     spark = pages.sparkSession
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), _text(c).alias("value")) for c in columns or _shown(pages)])
+    columns = columns or _shown(pages)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), _text(c).alias("value")) for c in columns])
     values = pages.select("range", F.explode(cells).alias("cell")).select("cell.*", "range").filter("value IS NOT NULL").distinct()
-    values.hint("rebalance", "column").write.mode("overwrite").partitionBy("column").parquet(f"{path}/values")
-    distinct = spark.read.schema(VALUES).parquet(f"{path}/values").select("column", "value").distinct()
-    postings = distinct.select("column", F.explode(_grams(F.col("value"))).alias("gram"), "value")
+    block_rows = max(BLOCK_VALUES, math.ceil(pages.count() * len(columns) / MOST_RANGES))
+    placed = values.repartitionByRange("column", "value", "range").sortWithinPartitions("column", "value", "range")
+    # Row numbers run within a partition, and those of two partitions are far apart.
+    blocks = placed.withColumn("row", F.monotonically_increasing_id()).withColumn("block", F.expr(f"row DIV {block_rows}")).drop("row")
+    blocks.write.mode("overwrite").partitionBy("column").parquet(f"{path}/values")
+    stored = spark.read.schema(VALUES).parquet(f"{path}/values")
+    postings = stored.select("column", "block", F.explode(_grams(F.col("value"))).alias("gram")).distinct()
     # In order of trigrams, so that a scan skips the row groups of others.
     postings.hint("rebalance", "column", "gram").sortWithinPartitions("column", "gram").write.mode("overwrite").partitionBy("column").parquet(
         f"{path}/postings"
@@ -110,19 +124,25 @@ def save_search(pages: DataFrame, path: str, columns: list[str] | None = None) -
 def load_search(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``(values, postings)`` as `save_search` wrote them."""
     values = spark.read.schema(VALUES).parquet(f"{path}/values")
-    return values, spark.read.schema("gram string, value string, column string").parquet(f"{path}/postings")
+    return values, spark.read.schema(POSTINGS).parquet(f"{path}/postings")
 
 
-def values_with(values: DataFrame, postings: DataFrame, column: str, term: str) -> DataFrame:
-    """The distinct values of a column that contain a term, in any case."""
+def _cells_with(values: DataFrame, postings: DataFrame, column: str, term: str) -> DataFrame:
+    """The values of a column that contain a term, in any case, and the ranges that they occur in."""
     term = term.lower()
     grams = sorted({term[i : i + GRAM] for i in range(len(term) - GRAM + 1)})
+    cells = values.filter(F.col("column") == column)
     if grams:
         hits = postings.filter((F.col("column") == column) & F.col("gram").isin(grams))
-        found = hits.groupBy("value").agg(F.count(F.lit(1)).alias("grams")).filter(F.col("grams") == len(grams)).select("value")
-    else:
-        found = values.filter(F.col("column") == column).select("value").distinct()
-    return found.filter(F.contains("value", F.lit(term)))
+        blocks = hits.groupBy("block").agg(F.count(F.lit(1)).alias("grams")).filter(F.col("grams") == len(grams)).select("block")
+        # At most MOST_RANGES numbers, and one for each task that wrote values.
+        cells = cells.join(F.broadcast(blocks), "block", "left_semi")
+    return cells.filter(F.contains("value", F.lit(term))).select("value", "range")
+
+
+def values_with(values: DataFrame, postings: DataFrame, column: str, term: str) -> DataFrame:
+    """The distinct values of a column that contain a term, in any case."""
+    return _cells_with(values, postings, column, term).select("value").distinct()
 
 
 def search_pages(
@@ -132,10 +152,8 @@ def search_pages(
     values, postings = search
     rows = pages
     for column, term in terms.items():
-        matching = values_with(values, postings, column, term)
-        held = values.filter(F.col("column") == column).join(matching, "value", "left_semi").select("range").distinct()
+        held = _cells_with(values, postings, column, term).select("range").distinct()
         # At most MOST_RANGES numbers.
-        rows = rows.join(F.broadcast(held), "range", "left_semi")
-        rows = rows.withColumn("value", _text(column)).join(matching, "value", "left_semi").drop("value")
+        rows = rows.join(F.broadcast(held), "range", "left_semi").filter(F.contains(_text(column), F.lit(term.lower())))
     shown = _shown(pages)
     return select_slice(rows, selection).orderBy(*_order(pages)).offset(page * size).limit(size).select(*shown)

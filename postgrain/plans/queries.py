@@ -283,7 +283,7 @@ def _cell_sample(posts: DataFrame) -> DataFrame:
 
 def _stored_pages(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
     path = sinks.shared_folder(spark, "pages")
-    page_index.save_pages(sinks.stored(_posts(spark, sf_dir), f"{path}/posts"), path)
+    page_index.save_pages(sinks.stored(page_index.page_rows(_posts(spark, sf_dir)), f"{path}/posts"), path)
     return path, *page_index.load_pages(spark, path)
 
 

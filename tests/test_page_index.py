@@ -72,3 +72,21 @@ def test_no_posts(spark, clean, tmp_path):
     page_index.save_search(pages, str(tmp_path))
     assert page_index.seek_page(pages, index, {}, 3, 10).collect() == []
     assert page_index.search_pages(pages, page_index.load_search(spark, str(tmp_path)), {}, {"username": "abc"}).collect() == []
+
+
+def test_postings_grow_with_blocks_not_with_values(spark, tmp_path):
+    """4,000 dates have 17 trigrams each; the blocks that hold them share most of these."""
+    rows = [post(i, f"u{i % 9}", date=f"20{10 + i % 10}-0{1 + i % 9}-1{i % 7} 0{i % 8}:{i // 67:02d}:{i % 59:02d}") for i in range(4000)]
+    page_index.save_pages(cleaning.clean_posts(posts(spark, rows)), str(tmp_path), range_rows=500)
+    pages, _ = page_index.load_pages(spark, str(tmp_path))
+    page_index.save_search(pages, str(tmp_path), ["date"])
+    values, postings = page_index.load_search(spark, str(tmp_path))
+    assert values.count() == 4000 and postings.count() < 4 * 4000
+    got = page_index.values_with(values, postings, "date", "3-12 0")
+    assert sorted(r[0] for r in got.collect()) == sorted({r["date"] for r in pages.select("date").collect() if "3-12 0" in r["date"]})
+
+
+def test_a_search_does_not_shuffle_posts_by_value(stored):
+    pages, _, search = stored
+    text = plan(page_index.search_pages(pages, search, {}, {"username": "u12", "date": "2019"}))
+    assert "hashpartitioning(value" not in text and "SortMergeJoin" not in text
