@@ -54,9 +54,13 @@ def read(spark: SparkSession, store: str, name: str, years: set[int] | None = No
 
 
 def _write(rows: DataFrame, store: str, name: str, generation: int) -> DataFrame:
-    """Writes the generation's folders of a table, and its columns where they can be read when there are no rows."""
+    """Writes the generation's folders of a table, and its columns where they can be read when there are no rows.
+
+    The rows come out of a shuffle, of partitions that adaptive execution has sized; bringing the rows of a year together would shuffle them
+    once more, to save files that are as many as these partitions for each year.
+    """
     path = f"{store}/{name}/generation={generation}"
-    rows.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
+    rows.write.mode("overwrite").partitionBy("year").parquet(path)
     layout = rows.withColumn("generation", F.lit(generation))
     layout.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{store}/layout/{name}")
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

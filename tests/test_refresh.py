@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from postgrain.operators import blocked_bloom, bloom, cleaning, slices
 from postgrain.plans import refresh
@@ -79,6 +80,18 @@ def test_the_filter_grows(spark, tmp_path, monkeypatch):
     assert rows_of(words) == rows_of(blocked_bloom.build(users, sizes))
 
 
+def test_tables_are_written_from_the_shuffle_they_come_out_of(spark, tmp_path, monkeypatch):
+    """Neither posts nor totals are shuffled again to be written by year, and every year's rows are in its folder."""
+    hints, plain = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, name, *args: hints.append(name) or plain(df, name, *args))
+    for rows in batches()[:2]:
+        refresh.apply_batch(spark, str(tmp_path), posts(spark, rows))
+    assert hints == []
+    _, held = refresh.manifest(spark, str(tmp_path))
+    folders = {int(p.name.split("=")[1]) for p in (tmp_path / "posts" / "generation=2").glob("year=*")}
+    assert folders == {y for y, g in held.items() if g == 2}
+
+
 def test_an_empty_batch(spark, tmp_path):
     refresh.apply_batch(spark, str(tmp_path), posts(spark, []))
     assert refresh.clean_posts(spark, str(tmp_path)).collect() == []
