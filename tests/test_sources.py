@@ -64,6 +64,21 @@ def test_clean_posts_are_stored_by_year(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(post_year" in plan
 
 
+def test_posts_are_not_shuffled_to_be_stored(spark, tmp_path):
+    """Each of the three tasks writes its own posts into the years it holds."""
+    rows = [post(i, date=f"201{i % 2}-01-01 00:00:00") for i in range(300)]
+    posts(spark, rows).repartition(3).write.parquet(str(tmp_path / "raw"))
+    clean = cleaning.clean_posts(spark.read.parquet(str(tmp_path / "raw"))).withColumn("task", F.spark_partition_id())
+    tasks = clean.select("task").distinct().count()
+    sinks.save_clean_posts(clean, str(tmp_path / "clean"))
+    assert tasks > 1
+    for year in (2010, 2011):
+        files = list((tmp_path / "clean" / f"post_year={year}").glob("*.parquet"))
+        assert len(files) == tasks
+        assert all(spark.read.parquet(str(f)).select("task").distinct().count() == 1 for f in files)
+    assert readers.read_posts(spark, str(tmp_path / "clean")).count() == 300
+
+
 def test_large_results_are_ordered_over_several_files(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
