@@ -96,3 +96,8 @@ def test_filter_and_parameters_share_one_distinct_user_set(stored):
     users = bloom.distinct_users(stored)
     params = bloom.bloom_params(users)
     assert "ReusedExchange" in executed(bloom.bloom_words(users, params))
+
+
+def test_the_cell_sample_derives_its_posts_once(spark):
+    """Digests, rows drawn and cells are read from stored posts, not from three joins of the tables."""
+    assert "l_orderkey" not in plan(QUERIES["cell_sample"](spark, SF_DIR))
