@@ -12,6 +12,7 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from pyspark.sql.window import Window
 
 from postgrain.schema import SAMPLE_OPTIONAL, SAMPLE_REQUIRED, present, user_column
+from postgrain.sources import sinks
 
 SAMPLE_FRACTION = 0.01
 
@@ -63,6 +64,17 @@ def fraction_prefix(fraction: float) -> str:
     return f"{int(fraction * 16**8):08x}"
 
 
+def _cutoff(prefixes: DataFrame, cap: int) -> DataFrame:
+    """The prefix up to which there are ``cap`` rows; none if there are fewer. Prefixes are counted in the map tasks."""
+    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        prefixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("reached", F.sum("n").over(running))
+        .filter((F.col("reached") >= cap) & (F.col("reached") - F.col("n") < cap))
+        .select("prefix")
+    )
+
+
 def lowest_digests(rows: DataFrame, cap: int) -> DataFrame:
     """The ``cap`` rows with the smallest ``_digest``, or all rows if there are fewer.
 
@@ -73,13 +85,7 @@ def lowest_digests(rows: DataFrame, cap: int) -> DataFrame:
     """
     columns = [c for c in rows.columns if c != "_digest"]
     prefix = F.substring("_digest", 1, PREFIX_DIGITS)
-    running = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cutoff = (
-        rows.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("reached", F.sum("n").over(running))
-        .filter((F.col("reached") >= cap) & (F.col("reached") - F.col("n") < cap))
-        .select("prefix")
-    )
+    cutoff = _cutoff(rows.select(prefix.alias("prefix")), cap)
     # No cutoff means fewer rows than wanted: keep all of them.
     kept = rows.filter(F.coalesce(prefix <= cutoff.scalar(), F.lit(True)))
     return kept.orderBy("_digest", *columns).limit(cap).select(*columns)
@@ -103,6 +109,25 @@ def engagement_sample(
     return drawn.select(*columns)
 
 
+def _candidates(rows: DataFrame, cap: int) -> DataFrame:
+    """The rows that can be among those of the ``cap`` smallest digests, and few others.
+
+    Whole rows are wide, and most of them are not drawn, so the digests of first copies alone are shuffled and counted. Of these ``cap`` different ones
+    bound the digests drawn. Beyond the bound only further copies can be drawn, so rows whose text recurs stay, however many they are. Rows are
+    read once and written with their digest to the shared folder, and so are the digests that recur: Spark then knows how many they are.
+    """
+    spark, path = rows.sparkSession, sinks.shared_folder(rows.sparkSession, "row-sample")
+    first = F.unhex(F.md5(F.concat_ws("|", row_text(rows), F.lit("0"))))
+    keyed = sinks.stored(rows.withColumn("_first", first), f"{path}/rows")
+    counted = sinks.stored(keyed.groupBy("_first").agg(F.count(F.lit(1)).alias("n")), f"{path}/counts")
+    prefix = F.substring(F.lower(F.hex("_first")), 1, PREFIX_DIGITS)
+    cutoff = _cutoff(counted.select(prefix.alias("prefix")), cap)
+    again = sinks.stored(counted.filter("n > 1").select("_first", F.lit(True).alias("_again")), f"{path}/again")
+    low = F.coalesce(prefix <= cutoff.scalar(), F.lit(True))
+    found = keyed.join(again, "_first", "left").filter(low | F.col("_again"))
+    return sinks.stored(found.select(*rows.columns), f"{path}/candidates")
+
+
 def explorer_sample(posts: DataFrame, cap: int) -> DataFrame:
     """``cap`` whole rows, for a look at posts that are too many to page through."""
-    return lowest_digests(_each_copy(posts), cap)
+    return lowest_digests(_each_copy(_candidates(posts, cap)), cap)

@@ -77,6 +77,16 @@ def test_copies_of_a_row_keep_their_number(spark):
         assert got == collections.Counter(sid for _, sid in order[:cap])
 
 
+def test_only_posts_that_may_be_drawn_are_grouped_whole(spark, clean, monkeypatch):
+    """600 distinct posts and 300 copies of one: the copies, and as many others as are drawn."""
+    seen, grouped = [], sampling._each_copy
+    monkeypatch.setattr(sampling, "_each_copy", lambda rows, *keep: seen.append(rows.count()) or grouped(rows, *keep))
+    assert sampling.explorer_sample(clean, 300).count() == 300
+    rows = [post(1)] * 300 + [post(10 + i) for i in range(600)]
+    assert sampling.explorer_sample(cleaning.clean_posts(posts(spark, rows)), 50).count() == 50
+    assert seen[0] == 300 and 349 <= seen[1] <= 350
+
+
 def test_empty_input(clean):
     assert sampling.explorer_sample(clean.limit(0), 10).count() == 0
 
