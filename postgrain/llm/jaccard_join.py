@@ -14,11 +14,14 @@ Agreement on nothing (both segments empty, or both of one shingle when one may g
 differences by a `slack`; as long as either set has no more such segments than that, the two agree on a segment that says
 something. The same slack pays for crowded signatures, those of more than `CROWD` groups that are not yet linked: they are
 left out for sets that can afford it. Sets that cannot, go by single shingles, and those that have too many crowded ones even there
-by their rarest shingles, counted among these sets.
+by their rarest shingles, counted among these sets: of two similar sets, the smaller one shares a shingle of its rarest seventh
+with the rarest quarter of the larger one, and where the last shared ones stand in the two tells how many more there can be.
 
 First a few signatures of each set link most near copies to one of them, so that thousands of copies are one group when
 all segments are compared; pairs within a group need no comparison. Two similar sets agree on more segments than either's
-slack, so pairs of different groups that share fewer signatures are dropped. All links are verified on the sets.
+slack, so pairs of different groups that share fewer signatures are dropped. Most of the pairs left are still no links, and short maps
+of the sets tell that of nearly all: a bit of a map is set where an odd number of shingles hashes to it, so two maps differ in no more
+bits than the sets in shingles. The links are verified on the sets.
 
 Half of its slack a set spends beforehand: that many of its largest signatures are not sent. Of what two sets share, either then
 misses some of the largest, so together they miss no more than the one with more slack does, and share more than what is left of it.
@@ -51,8 +54,10 @@ MATCHED, EXPECTED = 1_500_000, 300
 # Nodes sent to all tasks at most; beyond that the join shuffles texts.
 BROADCAST_NODES = 500_000
 _SLICE = 2 << 20
-# Pairs that a Python worker gets at once, each with two whole sets.
-_PAIRS = 256
+# Pairs that a Python worker gets at once, each with two whole sets; and with two maps.
+_PAIRS, _MAPPED = 256, 2048
+# Bits of a set's map for each shingle at least, and of one map.
+_SPREAD, _LEAST_BITS, _MOST_BITS = 4, 64, 1 << 14
 # Nodes of a shingle that are compared with all others of it at once.
 _BLOCK = 500
 # Pairs that a task notes before it counts equal ones together.
@@ -356,8 +361,33 @@ def _small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= BROADCAST_NODES else side
 
 
+def _maps(values: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Of each set, the bits that an odd number of its shingles hash to; a power of two of these, by size."""
+    size = np.diff(at)
+    bits = np.left_shift(1, np.ceil(np.log2((size * _SPREAD).clip(_LEAST_BITS, _MOST_BITS))).astype(np.int64))
+    ends = np.cumsum(bits)
+    odd = np.zeros(int(bits.sum()), np.uint8)
+    place = np.repeat(ends - bits, size) + (values[at[0] : at[-1]] & np.repeat((bits - 1).astype(np.uint64), size)).astype(np.int64)
+    np.add.at(odd, place, np.uint8(1))  # what overflows is even
+    packed = np.packbits(odd & 1).tobytes()
+    return [packed[(e - n) // 8 : e // 8] for e, n in zip(ends.tolist(), bits.tolist(), strict=True)]
+
+
+def _differing(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Bits in which the two maps of each pair differ. A longer map is folded to the other's length."""
+    out = np.zeros(len(x), np.int64)
+    lengths = np.array([[len(m), len(n)] for m, n in zip(x, y, strict=True)]).reshape(-1, 2)
+    for both in np.unique(lengths, axis=0):
+        rows, least = np.flatnonzero((lengths == both).all(axis=1)), int(both.min())
+        one, two = (
+            np.bitwise_xor.reduce(np.frombuffer(b"".join(maps[i] for i in rows), np.uint8).reshape(len(rows), -1, least), axis=1) for maps in (x, y)
+        )
+        out[rows] = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _sets_of(nodes: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(node, items) of the nodes; keys: one key of each node."""
+    """(node, size, map, items) of the nodes; keys: one key of each node."""
     wanted = stored(keys.join(nodes, "node", "left_semi").select("key"), "join-wanted")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,14 +396,26 @@ def _sets_of(nodes: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
             values, at = sets.once()
             some = np.flatnonzero(np.diff(at))
             packed = [packed_sorted(values[at[i] : at[i + 1]]) for i in some.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(sets.node[some]), pa.array(packed, pa.binary())], names=["node", "items"])
-
-    sets = _beside(texts, wanted, "left_semi").mapInArrow(pick, "node bigint, items binary")
+            # Sets left out as empty ones take no values.
+            maps = _maps(values, np.append(at[some], at[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sets.node[some]), pa.array(sets.size[some]), pa.array(maps, pa.binary()), pa.array(packed, pa.binary())],
+                names=["node", "size", "map", "items"],
+            )
+
+    sets = _beside(texts, wanted, "left_semi").mapInArrow(pick, "node bigint, size bigint, map binary, items binary")
     return stored(sets.dropDuplicates(["node"]), "join-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the stored pairs (a, b) whose sets are similar."""
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differing = _differing(batch["x"].to_pylist(), batch["y"].to_pylist())
+            # Similar sets of a and b shingles differ in (a + b) / 7 at most.
+            keep = 7 * differing <= batch["m"].to_numpy() + batch["n"].to_numpy()
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep))
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
@@ -386,24 +428,29 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(similar(common, len(one), len(two)))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    small = _small(pairs)
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x")).join(small, "a")
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y")).join(small.select("b"), "b", "left_semi")
-    conf, name = pairs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(name)
-    conf.set(name, _PAIRS)
-    try:
-        return stored(left.join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, LINK), "join-links")
-    finally:
-        conf.set(name, before)
+    def held(pairs: DataFrame, check, at_once: int, name: str, **columns: tuple[str, str]) -> DataFrame:
+        small = _small(pairs)
+        left = sets.select(F.col("node").alias("a"), *[F.col(c).alias(x) for c, (x, _) in columns.items()]).join(small, "a")
+        right = sets.select(F.col("node").alias("b"), *[F.col(c).alias(y) for c, (_, y) in columns.items()])
+        right = right.join(small.select("b"), "b", "left_semi")
+        conf, key = pairs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(key)
+        conf.set(key, at_once)
+        try:
+            return stored(left.join(right, "b").mapInArrow(check, LINK), name)
+        finally:
+            conf.set(key, before)
+
+    near = held(pairs, screen, _MAPPED, "join-near", size=("m", "n"), map=("x", "y"))
+    return held(near, compare, _PAIRS, "join-links", items=("x", "y"))
 
 
 def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(shingle, node, size, need, blocks): the rarest shingles of nodes (node, size, root), where different groups have them, and how
-    many two nodes share at least if they are similar.
+    """(shingle, node, size, place, blocks): the rarest shingles of nodes (node, size, root), where different groups have them, and the
+    place of each in its set, the rarest first.
 
-    Similar sets share more than ``spare`` shingles, of either. Seven eighths of that, the most frequent ones, are left out of each set;
-    as shingles have one order for all, two sets lose no more of what they share than the one with more to spare leaves out.
+    Sets share at least 3/7 of both sizes together if they are similar, so three quarters of the larger and six sevenths of the smaller
+    one. As shingles have one order for all, the first one shared is among the first of either that are not needed for the rest.
     """
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -411,31 +458,36 @@ def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
                 items = unpacked_sorted(raw.as_py()).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node)), pa.array(items)], names=["node", "shingle"])
 
-    each = sets.mapInArrow(unpack, "node bigint, shingle bigint").join(nodes, "node")
+    each = sets.select("node", "items").mapInArrow(unpack, "node bigint, shingle bigint").join(nodes, "node")
     each = stored(each, "join-each")
     often = each.groupBy("shingle").agg(F.count("*").alias("often"), (F.min("root") < F.max("root")).alias("meets"))
-    rarest = Window.partitionBy("node").orderBy(F.desc("often"), "shingle")
-    spare = F.floor((3 * F.col("size") + 3) / 4) - 1
-    left_out = F.floor(spare * 7 / 8)
-    kept = each.join(often, "shingle").withColumn("place", F.row_number().over(rarest)).where((F.col("place") > left_out) & F.col("meets"))
-    kept = kept.select("shingle", "node", "size", (spare - left_out + 1).alias("need"), F.ceil(F.col("often") / _BLOCK).alias("blocks"))
-    return stored(kept, "join-rarest")
+    rarest = Window.partitionBy("node").orderBy("often", "shingle")
+    kept = each.join(often, "shingle").withColumn("place", F.row_number().over(rarest)).where(F.col("meets"))
+    kept = kept.where(F.col("place") <= _upto("size", 3, 4))
+    return stored(kept.select("shingle", "node", "size", "place", F.ceil(F.col("often") / _BLOCK).alias("blocks")), "join-rarest")
+
+
+def _upto(size: str, share: int, of: int):
+    """The last place that the first shared shingle may have, where a set shares that part of it at least."""
+    return F.col(size) - F.floor((share * F.col(size) + of - 1) / of) + 1
 
 
 def _by_rarest(kept: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of different groups that share enough of their `_rarest` shingles."""
+    """Pairs (a, b) of nodes of different groups that their `_rarest` shingles leave as possibly similar."""
     kept = kept.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # Nodes of a frequent shingle meet block by block.
-    one = kept.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
+    # Nodes of a frequent shingle meet block by block; the smaller of two sets goes to each block.
+    one = kept.where(F.col("place") <= _upto("size", 6, 7)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     two = kept.select(
-        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "need")]
-    )
-    low, high = F.least("size", "size_b"), F.greatest("size", "size_b")
-    met = one.join(two, ["shingle", "block"]).where((F.col("root") < F.col("root_b")) & (4 * low >= 3 * high))
-    pairs = met.groupBy(F.col("node").alias("a"), F.col("node_b").alias("b")).agg(
-        F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need")
+        "shingle", F.pmod(F.xxhash64("node"), "blocks").alias("block"), *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "place")]
     )
-    return pairs.where(F.col("times") >= F.col("need")).select("a", "b")
+    smaller = (F.col("size") < F.col("size_b")) | ((F.col("size") == F.col("size_b")) & (F.col("node") < F.col("node_b")))
+    # What follows a shared shingle, and no more than what precedes it in either, may be shared besides.
+    after = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
+    may = 7 * (F.least("place", "place_b") + after) >= 3 * (F.col("size") + F.col("size_b"))
+    met = one.join(two, ["shingle", "block"]).where((F.col("root") != F.col("root_b")) & smaller & (4 * F.col("size") >= 3 * F.col("size_b")) & may)
+    # The last shared place of a pair is the last in both.
+    pairs = met.groupBy("node", "node_b", "size", "size_b").agg(F.count("*").alias("n"), F.max("place").alias("place"), F.max("place_b").alias("place_b"))
+    return pairs.where(7 * (F.col("n") + after) >= 3 * (F.col("size") + F.col("size_b"))).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
 
 
 def _to_leaders(members: DataFrame, roots: DataFrame | None) -> DataFrame:

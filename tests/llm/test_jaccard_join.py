@@ -8,7 +8,10 @@ import numpy as np
 import pytest
 
 from postgrain.llm.components import components
-from postgrain.llm.jaccard_join import allocation, bands, component_of, one_of_each, signatures
+from postgrain.llm.blocks import packed_sorted
+from postgrain.llm.jaccard_join import (
+    _by_rarest, _differing, _maps, _rarest, _verified, allocation, bands, component_of, one_of_each, signatures, similar,
+)
 from postgrain.llm.queries import QUERIES
 from tests.llm.data import documents, odd_rows, with_clashes
 
@@ -158,3 +161,62 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["node"]: r["root"] for r in got} == root and len(got) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def stored_sets(spark, sets):
+    """Sets of numbers as `_sets_of` stores them, named by their place."""
+    values = [np.array(sorted(s), np.uint64) for s in sets]
+    maps = _maps(np.concatenate(values), np.cumsum([0, *map(len, values)]))
+    rows = [(i, len(v), bytearray(m), bytearray(packed_sorted(v))) for i, (v, m) in enumerate(zip(values, maps, strict=True))]
+    return spark.createDataFrame(rows, "node bigint, size bigint, map binary, items binary")
+
+
+def all_links(sets):
+    return {(i, j) for i, s in enumerate(sets) for j, t in enumerate(sets[:i]) if similar(len(s & t), len(s), len(t))}
+
+
+def either_way(df):
+    return {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in df.collect()}
+
+
+def edited(rng, sizes):
+    """Sets that have most of one of two bases and some shingles of their own."""
+    new = lambda n: {rng.getrandbits(63) for _ in range(n)}
+    bases = [sorted(new(120)) for _ in range(2)]
+    return [set(rng.sample(bases[i % 2], n)) | new(rng.choice([0, 3, 12, 20])) for i, n in enumerate(sizes)]
+
+
+def test_rarest_shingles_lead_to_all_links(spark):
+    rng = random.Random(4)
+    sets = edited(rng, [rng.randrange(80, 121) for _ in range(90)])
+    stored = stored_sets(spark, sets)
+    nodes = stored.selectExpr("node", "size", "node as root")
+    pairs = _by_rarest(_rarest(nodes, stored), spark.createDataFrame([], "node bigint, root bigint"))
+    found, links = either_way(pairs), all_links(sets)
+    assert links and links <= found
+    assert len(found) == pairs.count()
+    assert either_way(_verified(pairs, stored)) == links
+
+
+def test_sets_with_much_in_common_do_not_meet(spark):
+    """Three quarters of each set in all of them: 0.6 similar."""
+    rng = random.Random(5)
+    shared = {rng.getrandbits(63) for _ in range(75)}
+    sets = [shared | {rng.getrandbits(63) for _ in range(25)} for _ in range(40)]
+    stored = stored_sets(spark, sets)
+    nodes = stored.selectExpr("node", "size", "node as root")
+    assert _by_rarest(_rarest(nodes, stored), spark.createDataFrame([], "node bigint, root bigint")).count() == 0
+
+
+def test_maps_differ_in_no_more_bits_than_sets():
+    rng = random.Random(6)
+    sets = edited(rng, [*[rng.randrange(1, 121) for _ in range(60)], 1, 2]) + [{rng.getrandbits(63) for _ in range(9000)}]
+    values = [np.array(sorted(s), np.uint64) for s in sets]
+    maps = _maps(np.concatenate(values), np.cumsum([0, *map(len, values)]))
+    pairs = [(i, j) for i in range(len(sets)) for j in range(len(sets))]
+    bits = _differing([maps[i] for i, _ in pairs], [maps[j] for _, j in pairs])
+    apart = np.array([len(sets[i] ^ sets[j]) for i, j in pairs])
+    assert (bits <= apart).all()
+    assert ((bits > 0) == (apart > 0)).mean() > 0.99
+    assert len({len(m) for m in maps}) > 3 and max(map(len, maps)) <= 2048
+    assert _maps(np.empty(0, np.uint64), np.zeros(1, np.int64)) == []
