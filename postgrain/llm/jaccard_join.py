@@ -58,6 +58,8 @@ _SLICE = 2 << 20
 _PAIRS, _MAPPED = 256, 2048
 # Bits of a set's map for each shingle at least, and of one map.
 _SPREAD, _LEAST_BITS, _MOST_BITS = 4, 64, 1 << 14
+# 64-bit words of the maps that sets bring to the comparison by rarest shingles.
+_WORDS = 8
 # Nodes of a shingle that are compared with all others of it at once.
 _BLOCK = 500
 # Pairs that a task notes before it counts equal ones together.
@@ -361,10 +363,10 @@ def _small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= BROADCAST_NODES else side
 
 
-def _maps(values: np.ndarray, at: np.ndarray) -> list[bytes]:
+def _maps(values: np.ndarray, at: np.ndarray, least: int = _LEAST_BITS, most: int = _MOST_BITS) -> list[bytes]:
     """Of each set, the bits that an odd number of its shingles hash to; a power of two of these, by size."""
     size = np.diff(at)
-    bits = np.left_shift(1, np.ceil(np.log2((size * _SPREAD).clip(_LEAST_BITS, _MOST_BITS))).astype(np.int64))
+    bits = np.left_shift(1, np.ceil(np.log2((size * _SPREAD).clip(least, most))).astype(np.int64))
     ends = np.cumsum(bits)
     odd = np.zeros(int(bits.sum()), np.uint8)
     place = np.repeat(ends - bits, size) + (values[at[0] : at[-1]] & np.repeat((bits - 1).astype(np.uint64), size)).astype(np.int64)
@@ -446,8 +448,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(shingle, node, size, place, blocks): the rarest shingles of nodes (node, size, root), where different groups have them, and the
-    place of each in its set, the rarest first.
+    """(shingle, node, size, place, blocks, words): the rarest shingles of nodes (node, size, root), where different groups have them, and
+    the place of each in its set, the rarest first; words: a map of the set.
 
     Sets share at least 3/7 of both sizes together if they are similar, so three quarters of the larger and six sevenths of the smaller
     one. As shingles have one order for all, the first one shared is among the first of either that are not needed for the rest.
@@ -464,7 +466,21 @@ def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     rarest = Window.partitionBy("node").orderBy("often", "shingle")
     kept = each.join(often, "shingle").withColumn("place", F.row_number().over(rarest)).where(F.col("meets"))
     kept = kept.where(F.col("place") <= _upto("size", 3, 4))
-    return stored(kept.select("shingle", "node", "size", "place", F.ceil(F.col("often") / _BLOCK).alias("blocks")), "join-rarest")
+    kept = kept.select("shingle", "node", "size", "place", F.ceil(F.col("often") / _BLOCK).alias("blocks"))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = [unpacked_sorted(raw.as_py()) for raw in batch["items"]]
+            maps = _maps(np.concatenate([np.empty(0, np.uint64), *items]), np.cumsum([0, *map(len, items)]), 64 * _WORDS, 64 * _WORDS)
+            words = np.frombuffer(b"".join(maps), "<i8").reshape(-1, _WORDS)
+            yield pa.RecordBatch.from_arrays([batch["node"], *map(pa.array, words.T)], names=["node", *_words("w")])
+
+    words = sets.select("node", "items").mapInArrow(mapped, ", ".join(f"{c} bigint" for c in ["node", *_words("w")]))
+    return stored(kept.join(words, "node"), "join-rarest")
+
+
+def _words(name: str) -> list[str]:
+    return [f"{name}{i}" for i in range(_WORDS)]
 
 
 def _upto(size: str, share: int, of: int):
@@ -472,18 +488,32 @@ def _upto(size: str, share: int, of: int):
     return F.col(size) - F.floor((share * F.col(size) + of - 1) / of) + 1
 
 
+def _in_turn(kept: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """(a, b): nodes of different groups that follow one another where the nodes of a shingle, or of a block of it, stand in a random order.
+
+    No more pairs than rows, and a node meets another one at each of its shingles, so few of a cluster stay alone.
+    """
+    kept = kept.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = Window.partitionBy("shingle", F.pmod(F.xxhash64("node"), "blocks")).orderBy(F.xxhash64("shingle", "node", F.lit(turn)), "node")
+    met = kept.withColumn("next", F.lead(F.struct("node", "size", "root")).over(order)).where(F.col("root") != F.col("next.root"))
+    low, high = F.least("size", "next.size"), F.greatest("size", "next.size")
+    return met.where(4 * low >= 3 * high).select(F.least("node", "next.node").alias("a"), F.greatest("node", "next.node").alias("b")).distinct()
+
+
 def _by_rarest(kept: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes of different groups that their `_rarest` shingles leave as possibly similar."""
     kept = kept.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Nodes of a frequent shingle meet block by block; the smaller of two sets goes to each block.
     one = kept.where(F.col("place") <= _upto("size", 6, 7)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     two = kept.select(
-        "shingle", F.pmod(F.xxhash64("node"), "blocks").alias("block"), *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "place")]
+        "shingle", F.pmod(F.xxhash64("node"), "blocks").alias("block"),
+        *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "place", *_words("w"))],
     )
     smaller = (F.col("size") < F.col("size_b")) | ((F.col("size") == F.col("size_b")) & (F.col("node") < F.col("node_b")))
     # What follows a shared shingle, and no more than what precedes it in either, may be shared besides.
     after = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
     may = 7 * (F.least("place", "place_b") + after) >= 3 * (F.col("size") + F.col("size_b"))
+    may &= 7 * sum(F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_b"))) for w in _words("w")) <= F.col("size") + F.col("size_b")
     met = one.join(two, ["shingle", "block"]).where((F.col("root") != F.col("root_b")) & smaller & (4 * F.col("size") >= 3 * F.col("size_b")) & may)
     # The last shared place of a pair is the last in both.
     pairs = met.groupBy("node", "node_b", "size", "size_b").agg(F.count("*").alias("n"), F.max("place").alias("place"), F.max("place_b").alias("place_b"))
@@ -582,8 +612,8 @@ def linked_texts(documents: DataFrame, *, crowd: int = CROWD) -> tuple[DataFrame
         return keys, roots
     sets = _sets_of(short.select("node"), texts, one_key)
     rarest = _rarest(short, sets)
-    for _ in range(ROUNDS):
-        pairs = stored(_to_leaders(rarest.select(F.col("shingle").alias("sig"), "node", "size"), roots), "join-pairs")
+    for turn in range(ROUNDS):
+        pairs = stored(_in_turn(rarest, roots, turn), "join-pairs")
         roots = joined(roots, _verified(pairs, sets))
     pairs = stored(_by_rarest(rarest, roots), "join-pairs")
     return keys, joined(roots, _verified(pairs, sets))

@@ -10,7 +10,7 @@ import pytest
 from postgrain.llm.components import components
 from postgrain.llm.blocks import packed_sorted
 from postgrain.llm.jaccard_join import (
-    _by_rarest, _differing, _maps, _rarest, _verified, allocation, bands, component_of, one_of_each, signatures, similar,
+    _by_rarest, _differing, _in_turn, _maps, _rarest, _verified, allocation, bands, component_of, one_of_each, signatures, similar,
 )
 from postgrain.llm.queries import QUERIES
 from tests.llm.data import documents, odd_rows, with_clashes
@@ -220,3 +220,18 @@ def test_maps_differ_in_no_more_bits_than_sets():
     assert ((bits > 0) == (apart > 0)).mean() > 0.99
     assert len({len(m) for m in maps}) > 3 and max(map(len, maps)) <= 2048
     assert _maps(np.empty(0, np.uint64), np.zeros(1, np.int64)) == []
+
+
+def test_nodes_in_turn_link_a_cluster_by_few_pairs(spark):
+    rng = random.Random(7)
+    base = sorted(rng.getrandbits(63) for _ in range(120))
+    sets = [set(rng.sample(base, 114)) | {rng.getrandbits(63) for _ in range(6)} for _ in range(80)]
+    stored = stored_sets(spark, sets)
+    rarest = _rarest(stored.selectExpr("node", "size", "node as root"), stored)
+    pairs = _in_turn(rarest, spark.createDataFrame([], "node bigint, root bigint"), 0)
+    assert pairs.count() <= rarest.count()
+    roots = components(_verified(pairs, stored))
+    assert roots.where("root = 0").count() == len(sets)
+    # What is one group needs no comparison.
+    assert _in_turn(rarest, roots, 1).count() == 0
+    assert _by_rarest(rarest, roots).count() == 0
